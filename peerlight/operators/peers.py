@@ -9,6 +9,7 @@ from peerlight.names import OUTLIER_PERCENTILE, PEER_KEYS
 from peerlight.operators.clean import sanitize_numbers
 from peerlight.operators.skew import running_totals, weighted_left_join
 from peerlight.sources.schema import validate_columns
+from peerlight.sources.snapshots import materialize
 
 # A peer group of at most this many rows may be sorted by one task.
 WINDOW_ROWS = 1_000_000
@@ -49,12 +50,13 @@ def counted_percent_ranks(df: DataFrame, measures: dict[str, str], peer_keys: li
     Rows are first reduced to counted value combinations per group. A value's rank is the number
     of rows below it, from bounded running totals, and is joined back by value; combinations that
     hold many rows (no opioids and no payments, say) are broadcast instead of shuffled.
+    Counts and ranks are narrow tables used several times, so each is computed once and kept.
     The measures must hold no NULL.
     """
     group = "__peers"
     values = list(dict.fromkeys(measures.values()))
     keyed = df.withColumn(group, F.struct(*peer_keys))
-    combos = keyed.groupBy(group, *values).agg(F.count(F.lit(1)).alias("__n"))
+    combos = materialize(keyed.groupBy(group, *values).agg(F.count(F.lit(1)).alias("__n")))
     ranked = combos
     for out, value in measures.items():
         counts = combos.groupBy(group, value).agg(
@@ -65,8 +67,8 @@ def counted_percent_ranks(df: DataFrame, measures: dict[str, str], peer_keys: li
         ranks = running_totals(counts, [group], value, ["rows"]).select(
             group, value, rank.alias(out), "__combos"
         )
-        ranked = weighted_left_join(ranked, ranks, [group, value], "__combos")
-    lookup = ranked.select(group, *values, *measures, "__n")
+        ranked = weighted_left_join(ranked, materialize(ranks), [group, value], "__combos")
+    lookup = materialize(ranked.select(group, *values, *measures, "__n"))
     return weighted_left_join(keyed, lookup, [group, *values], "__n").drop(group)
 
 

@@ -113,7 +113,7 @@ def _(t: Tables) -> DataFrame:
     ["total_payments", "claims_per_drug"],
 )
 def _(t: Tables) -> DataFrame:
-    return materialize(t.featured).select(*KEY, "total_payments", "unique_drugs", "claims_per_drug")
+    return t.snapshot.select(*KEY, "total_payments", "unique_drugs", "claims_per_drug")
 
 
 # --- cleaning ----------------------------------------------------------------------------------
@@ -520,7 +520,7 @@ def _(t: Tables) -> DataFrame:
 def _register_percentile(name: str, out: str, value: str, method: str) -> None:
     @query(name, f"SELECT {KEYS}, {out} FROM ranked", [out])
     def _(t: Tables) -> DataFrame:
-        rows = clean.sanitize_numbers(t.featured, [value], keep_infinite=True)
+        rows = clean.sanitize_numbers(t.snapshot, [value], keep_infinite=True)
         rows = rows.select(*KEY, *PEER_KEYS, value)
         return peers.peer_percentiles(rows, {out: value}, list(PEER_KEYS), method).select(*KEY, out)
 
@@ -537,7 +537,7 @@ for _out, _value in peers.PERCENTILES.items():
     ["opioid_peer_percentile"],
 )
 def _(t: Tables) -> DataFrame:
-    rows = clean.sanitize_numbers(t.featured, peers.BEHAVIOR_INPUTS, keep_infinite=True)
+    rows = clean.sanitize_numbers(t.snapshot, peers.BEHAVIOR_INPUTS, keep_infinite=True)
     measures = {"opioid_peer_percentile": "Opioid_Prscrbr_Rate"}
     return peers.peer_percentiles(rows, measures, [*PEER_KEYS, "report_year"]).select(*KEY, *measures)
 
@@ -558,7 +558,7 @@ _OUTLIERS = ["opioid_outlier_flag", "payment_outlier_flag"]
 
 @query("outlier_flags", f"SELECT {KEYS}, {', '.join(_OUTLIERS)} FROM outliers")
 def _(t: Tables) -> DataFrame:
-    return peers.add_behavioral_risk_flags(t.featured).select(*KEY, *_OUTLIERS)
+    return peers.add_behavioral_risk_flags(t.snapshot).select(*KEY, *_OUTLIERS)
 
 
 _BEHAVIOR = ["opioid_peer_percentile", "payment_peer_percentile", *_OUTLIERS, "behavioral_risk_flag"]
@@ -567,12 +567,12 @@ _BEHAVIOR_SQL = f"SELECT {KEYS}, {', '.join(_BEHAVIOR)} FROM behavior"
 
 @query("behavioral_risk_flags", _BEHAVIOR_SQL, list(peers.PERCENTILES))
 def _(t: Tables) -> DataFrame:
-    return peers.add_behavioral_risk_flags(t.featured).select(*KEY, *_BEHAVIOR)
+    return peers.add_behavioral_risk_flags(t.snapshot).select(*KEY, *_BEHAVIOR)
 
 
 @query("behavioral_risk_flags_by_counts", _BEHAVIOR_SQL, list(peers.PERCENTILES))
 def _(t: Tables) -> DataFrame:
-    return peers.add_behavioral_risk_flags(t.featured, method="counted").select(*KEY, *_BEHAVIOR)
+    return peers.add_behavioral_risk_flags(t.snapshot, method="counted").select(*KEY, *_BEHAVIOR)
 
 
 _COMPOSITES = [
@@ -583,7 +583,7 @@ _COMPOSITES = [
 
 @query("composite_labels", f"SELECT {KEYS}, {', '.join(_COMPOSITES)} FROM labeled")
 def _(t: Tables) -> DataFrame:
-    rows = labels.add_temporal_fraud_label(peers.add_behavioral_risk_flags(t.featured), t.leie)
+    rows = labels.add_temporal_fraud_label(peers.add_behavioral_risk_flags(t.snapshot), t.leie)
     rows = labels.add_binary_optional_flag(rows, t.cia, "cia_flag")
     rows = labels.add_binary_optional_flag(rows, t.doj, "doj_flag")
     return labels.add_composite_labels(rows).select(*KEY, *_COMPOSITES)
@@ -724,10 +724,10 @@ def _(t: Tables) -> DataFrame:
 # --- modelling ---------------------------------------------------------------------------------
 
 _MODELED = ["report_year", "Tot_Clms", "Opioid_Prscrbr_Rate", "total_payments", "high_cost_flag"]
-_UNIT_HASH = "(((CAST(provider_id AS BIGINT) % 2147483648) * 2654435761 + 42 * 1013904223) % 4294967296) / 4294967296.0"
+_UNIT_HASH = "(((CAST(provider_id AS BIGINT) % 2147483648) * 2654435761 + 42 * CAST(1013904223 AS BIGINT)) % 4294967296) / 4294967296.0"
 _SAMPLE_HASH = (
     "(((((CAST(provider_id AS BIGINT) % 2147483648) * 100 + report_year % 100) % 2147483648) * 2246822519"
-    " + 42 * 1013904223) % 4294967296) / 4294967296.0"
+    " + 42 * CAST(1013904223 AS BIGINT)) % 4294967296) / 4294967296.0"
 )
 _TRAIN_SQL = f"(SELECT * FROM cohort WHERE {_UNIT_HASH} < 0.8)"
 
@@ -741,7 +741,7 @@ _TRAIN_SQL = f"(SELECT * FROM cohort WHERE {_UNIT_HASH} < 0.8)"
     [*_MODELED, "is_fraud", "class_weight"],
 )
 def _(t: Tables) -> DataFrame:
-    table, _features = model.prepare_modeling_data(materialize(t.cohort))
+    table, _features = model.prepare_modeling_data(t.cohort)
     return table.select("provider_id", *_MODELED, "is_fraud", "class_weight")
 
 
@@ -750,7 +750,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT {KEYS}, is_fraud, CASE WHEN {_UNIT_HASH} < 0.8 THEN 'train' ELSE 'test' END AS part FROM cohort",
 )
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.cohort.select(*KEY, "is_fraud"))
+    rows = t.cohort.select(*KEY, "is_fraud")
     train, test = model.split_train_test(rows)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
@@ -762,18 +762,18 @@ def _(t: Tables) -> DataFrame:
          count(*) FILTER (is_fraud = 0) AS n FROM {_TRAIN_SQL}))""",
 )
 def _(t: Tables) -> DataFrame:
-    train, _test = model.split_train_test(materialize(t.cohort.select(*KEY, "is_fraud")))
+    train, _test = model.split_train_test(t.cohort.select(*KEY, "is_fraud"))
     return model.rebalance_training_data(train)[0]
 
 
 @query("random_split_and_sample")
 def _(t: Tables) -> DataFrame:
-    train, _test = model.split_train_test(materialize(t.cohort.select(*KEY, "is_fraud")), mode="random")
+    train, _test = model.split_train_test(t.cohort.select(*KEY, "is_fraud"), mode="random")
     return model.rebalance_training_data(train, mode="random")[0]
 
 
 def _training(t: Tables) -> tuple[DataFrame, list[str]]:
-    table, features = model.prepare_modeling_data(materialize(t.cohort))
+    table, features = model.prepare_modeling_data(t.cohort)
     train, _test = model.split_train_test(table)
     balanced, summary = model.rebalance_training_data(train)
     negatives = summary["balanced_rows"] - summary["positive_count"]
@@ -881,13 +881,13 @@ def _(t: Tables) -> DataFrame:
 
 @query("candidate_metrics")
 def _(t: Tables) -> DataFrame:
-    results = model.train_and_evaluate(materialize(t.cohort))
+    results = model.train_and_evaluate(t.cohort)
     return report.metrics_table(results["metrics_by_model"], t.spark)
 
 
 @query("train_and_score")
 def _(t: Tables) -> DataFrame:
-    _cohort, scored, _results = label_and_score(t.featured, t.leie, t.cia, t.doj)
+    _cohort, scored, _results = label_and_score(t.snapshot, t.leie, t.cia, t.doj)
     return scored.select(*KEY, "is_fraud", "supervised_score", "anomaly_score", "hybrid_risk_score")
 
 
@@ -911,7 +911,7 @@ def _(t: Tables) -> DataFrame:
     ["positive_share"],
 )
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.cohort.select(*KEY, "is_fraud"))
+    rows = t.cohort.select(*KEY, "is_fraud")
     return report.class_balance(*model.split_train_test(rows))
 
 

@@ -27,6 +27,7 @@ from peerlight.operators.clean import (
 from peerlight.operators.features import build_features
 from peerlight.operators.hybrid import combine_hybrid_scores
 from peerlight.operators.labels import add_multi_signal_labels, prediction_cohort
+from peerlight.sources import materialize
 
 # Weights of the deterministic stand-in for a model score.
 STAND_IN_SHIFT = 8.5
@@ -169,8 +170,9 @@ class Tables:
         return aggregate_recipient_data(clean_recipient_data(self.recipient))
 
     def assemble(self, hot_keys: list[str] | None = None) -> DataFrame:
+        # As in the batch run, the prescriber rows and the snapshots below are computed once.
         return join_data(
-            clean_prescribers(self.prescribers),
+            materialize(clean_prescribers(self.prescribers)),
             self.payment_totals,
             self.drug_totals,
             self.recipient_totals,
@@ -181,13 +183,17 @@ class Tables:
     def featured(self) -> DataFrame:
         return build_features(self.assemble())
 
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        return materialize(self.featured)
+
     @cached_property
     def labeled(self) -> DataFrame:
-        return add_multi_signal_labels(self.featured, self.leie, self.cia, self.doj)
+        return add_multi_signal_labels(self.snapshot, self.leie, self.cia, self.doj)
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return prediction_cohort(self.labeled)
+        return materialize(prediction_cohort(self.labeled))
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -203,7 +209,7 @@ class Tables:
 
     def grouped(self, features: list[str]) -> DataFrame:
         """Featured rows with sanitised features and their peer group."""
-        return sanitize_numbers(self.featured, features).withColumn(PEER_GROUP, peer_group_key())
+        return sanitize_numbers(self.snapshot, features).withColumn(PEER_GROUP, peer_group_key())
 
     def customer_keys(self) -> DataFrame:
         return self.read("customer").select(normalize_key("c_custkey").alias("provider_id"), "c_acctbal")
