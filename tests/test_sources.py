@@ -98,7 +98,7 @@ def test_year_comes_from_the_file_name_only(spark):
     assert [r.y for r in df.select(sources.year_in_name("f").alias("y")).collect()] == [2021, None, None]
 
 
-def test_snapshot_counts_while_writing_and_prunes_years(spark, tmp_path):
+def test_snapshot_counts_rows_and_prunes_years(spark, tmp_path):
     df = spark.range(100).select("id", (F.col("id") % 4 + 2020).cast("int").alias("report_year"))
     saved, rows = sources.snapshot(df, str(tmp_path / "s"), partition_by=["report_year"])
     assert rows == 100 and saved.filter("report_year = 2021").count() == 25
