@@ -26,7 +26,7 @@ def normalize_key(value: Column | str, strip_decimal: bool = True) -> Column:
     """
     text = _col(value).cast("string")
     if strip_decimal:
-        text = F.regexp_replace(text, r"\.0$", "")
+        text = F.when(text.endswith(".0"), F.substr(text, F.lit(1), F.length(text) - 2)).otherwise(text)
     return F.lpad(F.trim(text), KEY_LENGTH, "0")
 
 

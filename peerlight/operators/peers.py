@@ -53,23 +53,37 @@ def counted_percent_ranks(df: DataFrame, measures: dict[str, str], peer_keys: li
     Counts and ranks are narrow tables used several times, so each is computed once and kept.
     The measures must hold no NULL.
     """
-    group = "__peers"
-    values = list(dict.fromkeys(measures.values()))
+    group, measure, value = "__peers", "__measure", "__value"
+    columns = list(dict.fromkeys(measures.values()))
     keyed = df.withColumn(group, F.struct(*peer_keys))
-    combos = materialize(keyed.groupBy(group, *values).agg(F.count(F.lit(1)).alias("__n")))
-    ranked = combos
-    for out, value in measures.items():
-        counts = combos.groupBy(group, value).agg(
-            F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("__combos")
-        )
-        others = F.col("rows_total") - 1
-        rank = F.when(others > 0, F.col("rows_below") / others).otherwise(F.lit(0.0))
-        ranks = running_totals(counts, [group], value, ["rows"]).select(
-            group, value, rank.alias(out), "__combos"
+    combos = materialize(keyed.groupBy(group, *columns).agg(F.count(F.lit(1)).alias("__n")))
+
+    # All measures go through the running totals together, as values of one long table.
+    stacked = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias(measure), F.col(name).cast("double").alias(value))
+                for name in columns
+            ]
         )
-        ranked = weighted_left_join(ranked, materialize(ranks), [group, value], "__combos")
-    lookup = materialize(ranked.select(group, *values, *measures, "__n"))
-    return weighted_left_join(keyed, lookup, [group, *values], "__n").drop(group)
+    )
+    counts = (
+        combos.select(group, "__n", stacked.alias("__one"))
+        .groupBy(group, f"__one.{measure}", f"__one.{value}")
+        .agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("__combos"))
+    )
+    others = F.col("rows_total") - 1
+    rank = F.when(others > 0, F.col("rows_below") / others).otherwise(F.lit(0.0)).alias("__rank")
+    totals = running_totals(counts, [measure, group], value, ["rows"])
+    ranks = materialize(totals.select(group, measure, value, "__combos", rank))
+
+    ranked = combos
+    for out, name in measures.items():
+        own = ranks.filter(F.col(measure) == name)
+        lookup = own.select(group, F.col(value).alias(name), F.col("__rank").alias(out), "__combos")
+        ranked = weighted_left_join(ranked, lookup, [group, name], "__combos")
+    lookup = materialize(ranked.select(group, *columns, *measures, "__n"))
+    return weighted_left_join(keyed, lookup, [group, *columns], "__n").drop(group)
 
 
 def peer_percentiles(
