@@ -24,7 +24,7 @@ from peerlight.operators.features import build_features
 from peerlight.plans.batch import label_and_score, save_risk_artifacts
 from peerlight.plans.featured import sample_rows
 from peerlight.registry.sql import FEATURES, PEERS, clamp, pad, with_stages
-from peerlight.registry.tables import Tables
+from peerlight.registry.tables import Tables, stand_in_score
 from peerlight.sources import (
     has_multiple_years,
     materialize,
@@ -179,7 +179,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     columns = ["Tot_Clms", "Tot_Benes", "Tot_Drug_Cst", "total_payments"]
-    return clean.fill_zero(t.assemble(), columns).select(*KEY, *columns)
+    return clean.fill_zero(t.assemble(hot_keys=[]), columns).select(*KEY, *columns)
 
 
 def _odd_numbers(t: Tables) -> DataFrame:
@@ -255,7 +255,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("bernoulli_sample")
 def _(t: Tables) -> DataFrame:
-    return sample_rows(t.assemble(), 0.5).select(*KEY)
+    return sample_rows(t.assemble(hot_keys=[]), 0.5).select(*KEY)
 
 
 # --- joins and set operations ------------------------------------------------------------------
@@ -336,14 +336,14 @@ _PEER_JOIN_SQL = f"""SELECT {KEYS}, p.* FROM sanitized s
 
 @query("peer_statistics_join", _PEER_JOIN_SQL, _STATS)
 def _(t: Tables) -> DataFrame:
-    rows = t.grouped(_STAT_PARTS)
+    rows = materialize(t.grouped(_STAT_PARTS))
     stats = materialize(anomaly.peer_statistics(rows, _STAT_PARTS))
     return anomaly.attach_peer_statistics(rows.select(*KEY, PEER_GROUP), stats)
 
 
 @query("peer_statistics_join_without_broadcast", _PEER_JOIN_SQL, _STATS)
 def _(t: Tables) -> DataFrame:
-    rows = t.grouped(_STAT_PARTS)
+    rows = materialize(t.grouped(_STAT_PARTS))
     stats = materialize(anomaly.peer_statistics(rows, _STAT_PARTS))
     return anomaly.attach_peer_statistics(rows.select(*KEY, PEER_GROUP), stats, max_broadcast_rows=0)
 
@@ -365,8 +365,8 @@ def _(t: Tables) -> DataFrame:
     ["supervised_score"],
 )
 def _(t: Tables) -> DataFrame:
-    scores = t.scored.select(*KEY, "supervised_score")
-    return model.attach_scores(t.cohort.select(*KEY, "is_fraud"), scores)
+    scores = t.cohort_snapshot.select(*KEY, stand_in_score().alias("supervised_score"))
+    return model.attach_scores(t.cohort_snapshot.select(*KEY, "is_fraud"), scores)
 
 
 @query(
@@ -741,7 +741,7 @@ _TRAIN_SQL = f"(SELECT * FROM cohort WHERE {_UNIT_HASH} < 0.8)"
     [*_MODELED, "is_fraud", "class_weight"],
 )
 def _(t: Tables) -> DataFrame:
-    table, _features = model.prepare_modeling_data(t.cohort)
+    table, _features = model.prepare_modeling_data(t.cohort_snapshot)
     return table.select("provider_id", *_MODELED, "is_fraud", "class_weight")
 
 
@@ -750,7 +750,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT {KEYS}, is_fraud, CASE WHEN {_UNIT_HASH} < 0.8 THEN 'train' ELSE 'test' END AS part FROM cohort",
 )
 def _(t: Tables) -> DataFrame:
-    rows = t.cohort.select(*KEY, "is_fraud")
+    rows = t.cohort_snapshot.select(*KEY, "is_fraud")
     train, test = model.split_train_test(rows)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
@@ -762,18 +762,18 @@ def _(t: Tables) -> DataFrame:
          count(*) FILTER (is_fraud = 0) AS n FROM {_TRAIN_SQL}))""",
 )
 def _(t: Tables) -> DataFrame:
-    train, _test = model.split_train_test(t.cohort.select(*KEY, "is_fraud"))
+    train, _test = model.split_train_test(t.cohort_snapshot.select(*KEY, "is_fraud"))
     return model.rebalance_training_data(train)[0]
 
 
 @query("random_split_and_sample")
 def _(t: Tables) -> DataFrame:
-    train, _test = model.split_train_test(t.cohort.select(*KEY, "is_fraud"), mode="random")
+    train, _test = model.split_train_test(t.cohort_snapshot.select(*KEY, "is_fraud"), mode="random")
     return model.rebalance_training_data(train, mode="random")[0]
 
 
 def _training(t: Tables) -> tuple[DataFrame, list[str]]:
-    table, features = model.prepare_modeling_data(t.cohort)
+    table, features = model.prepare_modeling_data(t.cohort_snapshot)
     train, _test = model.split_train_test(table)
     balanced, summary = model.rebalance_training_data(train)
     negatives = summary["balanced_rows"] - summary["positive_count"]
@@ -784,7 +784,7 @@ _VECTOR = ["Opioid_Prscrbr_Rate", "Tot_Clms", "total_payments"]
 
 
 def _assembled_vectors(t: Tables, *more) -> DataFrame:
-    rows = t.cohort.select(*KEY, *_VECTOR)
+    rows = t.cohort_snapshot.select(*KEY, *_VECTOR)
     stages = [model._sanitizing_stage(_VECTOR), model.vector_assembler(_VECTOR), *more]
     return Pipeline(stages=stages).fit(rows).transform(rows)
 
@@ -817,7 +817,7 @@ def _register_candidate(name: str) -> None:
     def _(t: Tables) -> DataFrame:
         rows, features = _training(t)
         fitted = model.train_candidate_models(rows, features, names=[name])[name]
-        return model.score_with_model(t.cohort, fitted).select(*KEY, "is_fraud", "supervised_score")
+        return model.score_with_model(t.cohort_snapshot, fitted).select(*KEY, "is_fraud", "supervised_score")
 
 
 for _name in ("logistic_regression", "random_forest", "gbt_classifier"):
@@ -830,7 +830,7 @@ def _(t: Tables) -> DataFrame:
     fitted = model.train_candidate_models(rows, features, names=["logistic_regression"])
     path = _fresh_path(t)
     save_model(fitted["logistic_regression"], path)
-    return model.load_and_score(t.cohort, path).select(*KEY, "is_fraud", "supervised_score")
+    return model.load_and_score(t.cohort_snapshot, path).select(*KEY, "is_fraud", "supervised_score")
 
 
 @query(
@@ -881,7 +881,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("candidate_metrics")
 def _(t: Tables) -> DataFrame:
-    results = model.train_and_evaluate(t.cohort)
+    results = model.train_and_evaluate(t.cohort_snapshot)
     return report.metrics_table(results["metrics_by_model"], t.spark)
 
 
@@ -911,7 +911,7 @@ def _(t: Tables) -> DataFrame:
     ["positive_share"],
 )
 def _(t: Tables) -> DataFrame:
-    rows = t.cohort.select(*KEY, "is_fraud")
+    rows = t.cohort_snapshot.select(*KEY, "is_fraud")
     return report.class_balance(*model.split_train_test(rows))
 
 

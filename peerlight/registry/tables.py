@@ -173,9 +173,10 @@ class Tables:
         return aggregate_recipient_data(clean_recipient_data(self.recipient))
 
     def assemble(self, hot_keys: list[str] | None = None) -> DataFrame:
-        # As in the batch run, the prescriber rows and the snapshots below are computed once.
+        """Assembled rows; without `hot_keys` they are looked for, as in the batch run."""
+        prescribers = clean_prescribers(self.prescribers)
         return join_data(
-            materialize(clean_prescribers(self.prescribers)),
+            materialize(prescribers) if hot_keys is None else prescribers,
             self.payment_totals,
             self.drug_totals,
             self.recipient_totals,
@@ -184,10 +185,12 @@ class Tables:
 
     @cached_property
     def featured(self) -> DataFrame:
-        return build_features(self.assemble())
+        # One row per customer and year by construction, so no key can be hot.
+        return build_features(self.assemble(hot_keys=[]))
 
     @cached_property
     def snapshot(self) -> DataFrame:
+        """The featured rows written once, for what reads them more than once."""
         return materialize(self.featured)
 
     @cached_property
@@ -196,7 +199,12 @@ class Tables:
 
     @cached_property
     def cohort(self) -> DataFrame:
-        return materialize(prediction_cohort(self.labeled))
+        return prediction_cohort(self.labeled)
+
+    @cached_property
+    def cohort_snapshot(self) -> DataFrame:
+        """The cohort written once, for what reads it more than once."""
+        return materialize(self.cohort)
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -204,7 +212,7 @@ class Tables:
 
     @cached_property
     def anomaly(self) -> DataFrame:
-        return build_anomaly_scores(self.scored)
+        return build_anomaly_scores(self.cohort_snapshot.withColumn("supervised_score", stand_in_score()))
 
     @cached_property
     def hybrid(self) -> DataFrame:
@@ -212,7 +220,7 @@ class Tables:
 
     def grouped(self, features: list[str]) -> DataFrame:
         """Featured rows with sanitised features and their peer group."""
-        return sanitize_numbers(self.snapshot, features).withColumn(PEER_GROUP, peer_group_key())
+        return sanitize_numbers(self.featured, features).withColumn(PEER_GROUP, peer_group_key())
 
     def customer_keys(self) -> DataFrame:
         return self.read("customer").select(normalize_key("c_custkey").alias("provider_id"), "c_acctbal")
