@@ -49,12 +49,9 @@ def review_list(df: DataFrame, limit: int = 25) -> DataFrame:
 
 def stage_row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Row count of every named stage, as one row."""
-    counts = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in stages.items()]
-    result = counts[0]
-    for other in counts[1:]:
-        # Both sides are one-row aggregates.
-        result = result.crossJoin(F.broadcast(other))
-    return result
+    (first, head), *others = stages.items()
+    result = head.agg(F.count(F.lit(1)).alias(first))
+    return result.withColumns({name: df.agg(F.count(F.lit(1))).scalar() for name, df in others})
 
 
 def metrics_table(results: dict, spark) -> DataFrame:

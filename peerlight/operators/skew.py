@@ -79,11 +79,9 @@ def weighted_left_join(
     last key column must be castable from a whole number and no key may be NULL. `weight` is dropped.
     """
     values = [name for name in lookup.columns if name not in keys and name != weight]
-    total = lookup.agg(F.sum(weight).alias("__total"))
-    hot = (
-        lookup.crossJoin(F.broadcast(total))
-        .filter(F.col(weight) * HOT_SHARE > F.col("__total"))
-        .select(*keys, *[F.col(name).alias(f"__hot_{name}") for name in values], F.lit(True).alias("__hot"))
+    total = lookup.agg(F.sum(weight)).scalar()
+    hot = lookup.filter(F.col(weight) * HOT_SHARE > total).select(
+        *keys, *[F.col(name).alias(f"__hot_{name}") for name in values], F.lit(True).alias("__hot")
     )
     spread_key = keys[-1]
     spread = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(1 << 20))
