@@ -18,7 +18,7 @@ from peerlight.llm.common import slices
 # Words longer than this go through a heap by the same rule: the recursion takes as many rounds as a word has merges.
 LONG_WORD = 512
 # Words whose ids a worker remembers; the oldest half is forgotten beyond it, so memory stays bounded.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 # Words one recursive query contracts at a time.
 WORDS_PER_QUERY = 20_000
 
@@ -225,20 +225,23 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
     """(doc_id, ids): ids of every whole text as little-endian unsigned 32-bit integers.
 
     NULL and empty texts have no ids. Rows keep their doc_id, also NULL or repeated ones; other columns
-    are ignored. No shuffle: each partition contracts the words it meets for the first time.
+    are ignored. No shuffle: each partition contracts the words it meets for the first time. With `decode`,
+    the same worker also returns the bytes its ids stand for, as `bpe_decode` would.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for batch in slices(whole, "text", 16 << 20):
-                yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": own.encode(batch.column("text"))})
+            for batch in slices(whole, "text", 8 << 20):
+                ids = own.encode(batch.column("text"))
+                out = {"doc_id": batch.column("doc_id"), "ids": ids}
+                yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
 
 
 def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -247,7 +250,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for batch in slices(whole, "ids", 32 << 20):
+            for batch in slices(whole, "ids", 16 << 20):
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
 

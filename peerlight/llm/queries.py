@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlight.llm.bpe import bpe_decode, bpe_encode
+from peerlight.llm.bpe import bpe_encode
 from peerlight.llm.common import read_table
 from peerlight.llm.decontaminate import find_contamination
 from peerlight.llm.embeddings import near_duplicate_vectors
@@ -89,7 +89,7 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = vocabulary()
-    decoded = bpe_decode(bpe_encode(read_table(spark, folder, "documents"), path, pattern), path, pattern)
+    decoded = bpe_encode(read_table(spark, folder, "documents"), path, pattern, decode=True)
     return decoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
