@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlight.llm.bpe import bpe_decode, bpe_encode
+from peerlight.llm.bpe import bpe_encode
 from peerlight.llm.common import read_table
 from peerlight.llm.decontaminate import find_contamination
 from peerlight.llm.language import UNKNOWN, identify_language
@@ -48,7 +48,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text and the digest of what they decode to."""
     path, pattern = vocabulary()
-    return bpe_decode(bpe_encode(docs, path, pattern), path, pattern).select(
+    return bpe_encode(docs, path, pattern, decode=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
