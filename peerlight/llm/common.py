@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -33,7 +34,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
     if lengths <= limit or batch.num_rows <= 1:
         yield batch
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     step = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
     for low, high in zip(cuts, cuts[1:]):

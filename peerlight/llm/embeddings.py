@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -201,7 +202,7 @@ def _links(classes: DataFrame, index, least: float, block_rows: int) -> DataFram
         dim = q.centres.shape[1]
         parts = {}
         for side in (False, True):
-            rows = table.filter(pa.compute.equal(table.column("query"), side))
+            rows = table.filter(pc.equal(table.column("query"), side))
             parts[side] = (
                 np.array(rows.column("class").to_pylist(), object),
                 rows.column("weight").to_numpy(),

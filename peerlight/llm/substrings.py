@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -409,7 +410,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
-                    "n_bytes": pa.compute.cast(pa.compute.binary_length(batch.column("text")), pa.int64()),
+                    "n_bytes": pc.cast(pc.binary_length(batch.column("text")), pa.int64()),
                     "n_removed": pa.array(removed, pa.int64()),
                     "n_spans": pa.array(spans, pa.int64()),
                     "kept": pa.array(kept, pa.binary()),
