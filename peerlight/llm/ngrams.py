@@ -158,7 +158,8 @@ def ngram_jaccard_join(
     )
     buckets = classes.select("fp", F.posexplode("bands").alias("band", "hash")).select("fp", F.xxhash64("band", "hash").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("fp").alias("first"), F.max("fp").alias("last")).filter("first <> last")
-    ties = buckets.join(shared.select("bucket", "first"), "bucket").filter("fp <> first")
+    # Written first, so that both sides of the join are dealt anew and Spark may split a hot bucket.
+    ties = buckets.join(materialize(shared.select("bucket", "first")), "bucket").filter("fp <> first")
     groups = connected_components(ties, "fp", "first")
     members = materialize(
         groups.withColumnRenamed("node", "fp").join(classes.select("fp", "class_id", "weight", "n_shingles"), "fp")

@@ -228,14 +228,15 @@ def repeated_windows(docs: DataFrame, length: int = 400, k: int = 64, most: int
     found = grain.filter(F.octet_length("text") >= length).mapInArrow(
         _emit_anchors(length, k), "u1 long, u2 long, key long, digest long, anchor long, low long, high long"
     )
-    often = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # Written first, so that both sides of the join are dealt anew and Spark may split a hot key.
+    often = materialize(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"))
     places = materialize(found.join(often, "key", "left_semi"))
     place = F.struct("u1", "u2", "anchor", "low", "high")
     kinds = materialize(places.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("weight"), F.min(place).alias("p")))
     marks = places.join(kinds.filter("weight > 1").select("key", "digest"), ["key", "digest"], "left_semi").select(
         "u1", "u2", "low", "high"
     )
-    sizes = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    sizes = materialize(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"))
     wanted = (
         kinds.join(sizes, "key")
         .select("p.u1", "p.u2", F.struct("key", "digest", "weight", "p.anchor", "p.low", "p.high").alias("w"))

@@ -40,7 +40,7 @@ def plan_records(pages: DataFrame, revisit_bytes: int = 1000) -> DataFrame:
     )
     revisit = F.coalesce(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.lit(False))
     return (
-        page.join(twice, "payload_digest", "left")
+        page.join(materialize(twice), "payload_digest", "left")
         .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
         .withColumn("refers_to", F.when(revisit, F.col("first")))
         .drop("first")
