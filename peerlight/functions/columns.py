@@ -65,11 +65,13 @@ def exact_sum(value: Column | str) -> Column:
     """Sum of a money column that does not depend on the order tasks finish in.
 
     Amounts are added as decimals (four places hold every currency amount), so two runs on
-    different partitionings agree to the last bit. What no decimal can hold (NaN, infinities,
-    sizes beyond 1e17) is added on top as doubles.
+    different partitionings agree to the last bit. What four places leave over (finer amounts) and what
+    no decimal can hold (NaN, infinities, sizes beyond 1e23) is added on top as doubles.
     """
     number = _col(value).cast("double")
-    representable = F.abs(number) < F.lit(1e17)
-    decimals = F.sum(F.when(representable, number.cast("decimal(22,4)"))).cast("double")
-    others = F.sum(F.when(~representable, number))
+    representable = F.abs(number) < F.lit(1e23)
+    places = number.cast("decimal(28,4)")
+    decimals = F.sum(F.when(representable, places)).cast("double")
+    finer = number - places.cast("double")
+    others = F.sum(F.when(~representable, number).when(finer != 0, finer))
     return F.when(others.isNull(), decimals).otherwise(F.coalesce(decimals, F.lit(0.0)) + others)

@@ -117,10 +117,13 @@ def add_optional_flag(
     date = f"{flag_column}_date"
     if source_df is None or date not in source_df.columns:
         return add_binary_optional_flag(df, source_df, flag_column)
-    joined = lookup_left_join(df, source_df.select(PROVIDER_ID, date), [PROVIDER_ID])
-    return joined.withColumn(
-        flag_column, _within_horizon(F.col(date), _year_of(df, report_year), horizon_years)
-    )
+    source = validate_any_column(source_df, ID_ALIASES, f"Optional label source for '{flag_column}'")
+    listed = _listed(source_df.select(normalize_key(source).alias(PROVIDER_ID), F.col(date).alias("__date")))
+    dates = listed.groupBy(PROVIDER_ID).agg(F.collect_set("__date").alias("__dates"), F.min("__date").alias(date))
+    year = _year_of(df, report_year)
+    joined = lookup_left_join(df.drop(date), dates, [PROVIDER_ID])
+    inside = F.exists("__dates", lambda day: _within_horizon(day, year, horizon_years) == 1)
+    return joined.withColumn(flag_column, F.coalesce(inside, F.lit(False)).cast("int")).drop("__dates")
 
 
 def _list_signals(leie: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:

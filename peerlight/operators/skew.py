@@ -11,8 +11,9 @@ from peerlight.sources.snapshots import materialize
 BROADCAST_ROWS = 100_000
 # A key with more than one row in HOT_SHARE is hot, so fewer than HOT_SHARE keys ever are.
 HOT_SHARE = 10_000
-# Keys reported by the frequency sketch, and tasks one hot key is spread over.
-SKETCH_KEYS = 64
+# ... and only if it is at most this large when written as text.
+BROADCAST_BYTES = 64 << 20
+# Tasks one hot key is spread over.
 SPREAD = 256
 
 _GROUP = "__group"
@@ -28,14 +29,15 @@ def _key_text(keys: list[str]) -> Column:
 
 
 def frequent_keys(rows: DataFrame, keys: list[str], share: float = 0.001) -> list[str]:
-    """Key texts that carry more than `share` of the rows, at most 64 of them.
+    """Key texts that carry more than `share` of the rows, of which there are fewer than 1 / `share`.
 
     One pass over the key columns with a mergeable sketch, so it needs no shuffle of keys. The
     answer only steers how rows are spread over tasks; results do not depend on it.
     """
+    most = min(10_000, int(1 / max(share, 1e-4)) + 1)
     sketch = rows.select(_key_text(keys).alias("k")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(k, {SKETCH_KEYS}, {SKETCH_KEYS * 64})").alias("top"),
+        F.expr(f"approx_top_k(k, {most}, {most * 64})").alias("top"),
     )
     row = sketch.first()
     floor = max(share * row["rows"], 1.0)
@@ -51,7 +53,9 @@ def salted_left_join(rows: DataFrame, lookup: DataFrame, keys: list[str], hot: l
     if not hot:
         return rows.join(lookup, keys, "left")
     salt = "__salt"
-    row_hash = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(SPREAD)).cast("int")
+    # Equal rows need different salts, so their place counts too; it steers placement only.
+    place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(name) for name in rows.columns])
+    row_hash = F.pmod(place, F.lit(SPREAD)).cast("int")
     is_hot = _key_text(keys).isin(hot)
     salted_rows = rows.withColumn(salt, F.when(is_hot, row_hash).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
@@ -64,7 +68,9 @@ def lookup_left_join(
 ) -> DataFrame:
     """Left join with a computed list of unknown size: broadcast when counted small, else salted."""
     table = materialize(lookup)
-    if table.count() <= max_broadcast_rows:
+    row_bytes = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0))
+    size = table.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
+    if size["rows"] <= max_broadcast_rows and size["bytes"] <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys, "left")
     return salted_left_join(rows, table, keys, frequent_keys(rows, keys))
 
@@ -84,7 +90,8 @@ def weighted_left_join(
         *keys, *[F.col(name).alias(f"__hot_{name}") for name in values], F.lit(True).alias("__hot")
     )
     spread_key = keys[-1]
-    spread = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(1 << 20))
+    place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(name) for name in rows.columns])
+    spread = F.pmod(place, F.lit(1 << 20))
     tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "__spread",
         F.when(F.col("__hot"), spread.cast(rows.schema[spread_key].dataType)).otherwise(F.col(spread_key)),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -41,11 +41,20 @@ KEY = ["provider_id", "report_year"]
 KEYS = ", ".join(KEY)
 
 
+def _gridded(value: Column) -> Column:
+    scaled = value * 1e6
+    # Where scaling leaves the range of doubles there is no digit below the grid.
+    return F.when(F.abs(scaled) < float("inf"), F.rint(scaled) / 1e6).otherwise(value)
+
+
 def on_grid(df: DataFrame) -> DataFrame:
-    """Doubles rounded to a 1e-6 grid, so that two engines' last bits compare equal."""
+    """Doubles rounded to a 1e-6 grid, so that two engines' last bits compare equal.
+
+    The arithmetic stays in doubles: NaN, infinities and values of any size come through.
+    """
     return df.withColumns(
         {
-            field.name: F.floor(F.col(field.name) * 1e6 + 0.5) / 1e6
+            field.name: _gridded(F.col(field.name))
             for field in df.schema.fields
             if isinstance(field.dataType, DoubleType)
         }

@@ -207,6 +207,6 @@ def with_stages(body: str, doubles: list[str] | tuple[str, ...] = ()) -> str:
     """A full statement: every stage as a CTE, then `body` with its doubles on a 1e-6 grid."""
     stages = ", ".join(f"{name} AS ({text})" for name, text in STAGES.items())
     if doubles:
-        grid = ", ".join(f"floor({name} * 1e6 + 0.5) / 1e6 AS {name}" for name in doubles)
+        grid = ", ".join(f"CASE WHEN abs({name} * 1e6) < 'inf'::DOUBLE THEN round_even({name} * 1e6, 0) / 1e6 ELSE {name} END AS {name}" for name in doubles)
         body = f"SELECT * REPLACE ({grid}) FROM ({body})"
     return f"WITH {stages} {body}"
