@@ -17,8 +17,11 @@ from peerlight.llm.common import slices
 
 # Words longer than this go through a heap by the same rule: the recursion takes as many rounds as a word has merges.
 LONG_WORD = 512
-# Words whose ids a worker remembers; the oldest half is forgotten beyond it, so memory stays bounded.
-REMEMBERED = 600_000
+# Words whose ids a worker remembers besides those of the slice at hand: when the younger half is full, words not
+# met since the last time are forgotten, so memory stays bounded and common words are never learned again.
+REMEMBERED = 300_000
+# Bytes of texts encoded in one step.
+SLICE = 8 << 20
 # Words one recursive query contracts at a time.
 WORDS_PER_QUERY = 20_000
 
@@ -70,6 +73,7 @@ class Codec:
         self.blank = np.zeros(max(self.ranks.values()) + 1, bool)
         self.blank[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
         self.known: dict[str, bytes] = {}
+        self.fading: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         merges = [
             (left, right, rank)
@@ -144,16 +148,25 @@ class Codec:
             part = todo[i : i + WORDS_PER_QUERY]
             self.known.update(zip(part, self._contract([w.encode() for w in part])))
 
+    def _recall(self, word: str) -> bytes | None:
+        """Ids of a word met not too long ago, which make it young again."""
+        ids = self.known.get(word)
+        if ids is None and (ids := self.fading.pop(word, None)) is not None:
+            self.known[word] = ids
+        return ids
+
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of texts that begin and end where matches of the pattern do."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            for old in list(islice(known, REMEMBERED // 2)):
-                del known[old]
-        split = {c: self.find(c) for c in chunks if c not in known}
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.fading = {}, self.known
+        out = [self._recall(c) for c in chunks]
+        split = {c: self.find(c) for c, ids in zip(chunks, out) if ids is None}
         words = {w for found in split.values() for w in found}
-        self._learn(words - known.keys())
-        out = [b"".join([known[w] for w in split[c]]) if c in split else known[c] for c in chunks]
+        self._learn({w for w in words if self._recall(w) is None})
+        known = self.known
+        for i, c in enumerate(chunks):
+            if out[i] is None:
+                out[i] = b"".join([known[w] for w in split[c]])
         for w in words:
             if len(w) > LONG_WORD:
                 del known[w]
@@ -236,10 +249,11 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for batch in slices(whole, "text", 8 << 20):
+            for batch in slices(whole, "text", SLICE):
                 ids = own.encode(batch.column("text"))
                 out = {"doc_id": batch.column("doc_id"), "ids": ids}
                 yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
 
@@ -250,7 +264,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for whole in batches:
-            for batch in slices(whole, "ids", 16 << 20):
+            for batch in slices(whole, "ids", 2 * SLICE):
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
 
