@@ -64,14 +64,18 @@ def ratio_or_zero(numerator: Column | str, denominator: Column | str) -> Column:
 def exact_sum(value: Column | str) -> Column:
     """Sum of a money column that does not depend on the order tasks finish in.
 
-    Amounts are added as decimals (four places hold every currency amount), so two runs on
-    different partitionings agree to the last bit. What four places leave over (finer amounts) and what
-    no decimal can hold (NaN, infinities, sizes beyond 1e23) is added on top as doubles.
+    Amounts below 1e15 are added as decimals of eight places and larger ones, below 1e23, as decimals of
+    four, so two runs on different partitionings agree to the last bit. Digits beyond the eighth place,
+    where a quotient of cents has its last-bit noise, are rounded away. Only what no decimal holds (NaN,
+    infinities, sizes from 1e23 on) is added as doubles.
     """
     number = _col(value).cast("double")
-    representable = F.abs(number) < F.lit(1e23)
-    places = number.cast("decimal(28,4)")
-    decimals = F.sum(F.when(representable, places)).cast("double")
-    finer = number - places.cast("double")
-    others = F.sum(F.when(~representable, number).when(finer != 0, finer))
-    return F.when(others.isNull(), decimals).otherwise(F.coalesce(decimals, F.lit(0.0)) + others)
+    size = F.abs(number)
+    usual, large = size < F.lit(1e15), size < F.lit(1e23)
+    parts = [
+        F.sum(F.when(usual, number.cast("decimal(28,8)"))).cast("double"),
+        F.sum(F.when(~usual & large, number.cast("decimal(28,4)"))).cast("double"),
+        F.sum(F.when(~large, number)),
+    ]
+    some = F.coalesce(*parts)
+    return F.when(some.isNotNull(), sum((F.coalesce(part, F.lit(0.0)) for part in parts[1:]), F.coalesce(parts[0], F.lit(0.0))))

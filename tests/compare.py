@@ -10,7 +10,7 @@ import duckdb
 
 import __spark_entry__ as entry
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(folder: str):

@@ -100,3 +100,19 @@ def test_unit_hash_is_even_and_independent_of_partitions(spark):
 def test_unit_hash_takes_text_keys(spark):
     rows = spark.createDataFrame([("0000000abc",), ("9999999999",)], "provider_id string")
     assert all(0 <= r.u < 1 for r in rows.select(unit_hash("provider_id").alias("u")).collect())
+
+
+def test_exact_sum_of_quotients_is_bit_stable(spark):
+    """Hundredths of amounts are often an ulp off their own decimal; no order of adding shows it."""
+    rows = spark.range(5_000).select((F.col("id") * 7919 % 100_003 / 100 / 100).alias("x"), (F.col("id") % 7).alias("k"))
+    results = {
+        tuple(sorted(map(tuple, rows.repartition(n, *by).groupBy("k").agg(exact_sum("x")).collect())))
+        for n, by in ((1, ()), (5, ()), (8, ("x",)), (3, ("k",)))
+    }
+    assert len(results) == 1
+
+
+def test_exact_sum_of_large_and_small(spark):
+    rows = spark.createDataFrame([(3e15,), (0.25,), (-3e15,)], "x double")
+    assert rows.agg(exact_sum("x").alias("y")).first().y == 0.25
+    assert rows.limit(0).agg(exact_sum("x").alias("y")).first().y is None

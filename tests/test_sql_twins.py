@@ -5,7 +5,7 @@ import functools
 import pytest
 
 import __spark_entry__ as entry
-from peerlight.registry import queries
+from peerlight.registry import QUERIES, queries
 from tests.compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ def shared_stages():
     patch.undo()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, duck, name):
     assert difference(spark, duck, name, SMALL) is None
 
