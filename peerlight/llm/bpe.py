@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import heapq
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import lru_cache
 from itertools import islice
 
@@ -21,9 +23,10 @@ LONG_WORD = 512
 # met since the last time are forgotten, so memory stays bounded and common words are never learned again.
 REMEMBERED = 300_000
 # Bytes of texts encoded in one step.
-SLICE = 8 << 20
-# Words one recursive query contracts at a time.
+SLICE = 6 << 20
+# Words one recursive query contracts at a time, and the memory its database may hold.
 WORDS_PER_QUERY = 20_000
+DATABASE_MEMORY = "150MB"
 
 # A match of the pattern starts at every blank unless two or more white-space characters stand before it, so
 # texts without this may be cut at all blanks.
@@ -74,7 +77,7 @@ class Codec:
         self.blank[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
         self.known: dict[str, bytes] = {}
         self.fading: dict[str, bytes] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DATABASE_MEMORY, "temp_directory": ""})
         merges = [
             (left, right, rank)
             for token, rank in self.ranks.items()
@@ -103,9 +106,9 @@ class Codec:
         self.db.register("start", start)
         ids = self.db.sql(_ENCODE).to_arrow_table().column("ids").combine_chunks()
         tokens = ids.values.to_numpy().astype("<u4")
-        ends = ids.offsets.to_numpy()
+        raw, ends = tokens.tobytes(), (ids.offsets.to_numpy() * 4).tolist()
         for low, high in zip(ends, ends[1:]):
-            yield tokens[low:high].tobytes()
+            yield raw[low:high]
 
     def _long(self, word: bytes) -> bytes:
         """The same contraction for one very long word: least rank first, leftmost among equals."""
@@ -159,10 +162,13 @@ class Codec:
         """Ids of texts that begin and end where matches of the pattern do."""
         if len(self.known) > REMEMBERED // 2:
             self.known, self.fading = {}, self.known
-        out = [self._recall(c) for c in chunks]
+        out = list(map(self.known.get, chunks))
+        for i, c in enumerate(chunks):
+            if out[i] is None:
+                out[i] = self._recall(c)
         split = {c: self.find(c) for c, ids in zip(chunks, out) if ids is None}
         words = {w for found in split.values() for w in found}
-        self._learn({w for w in words if self._recall(w) is None})
+        self._learn({w for w in words if w not in self.known and self._recall(w) is None})
         known = self.known
         for i, c in enumerate(chunks):
             if out[i] is None:
@@ -200,24 +206,38 @@ class Codec:
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """Bytes of each id sequence; each distinct run between tokens that begin with a blank is decoded once."""
-        raw = pc.fill_null(ids.cast(pa.large_binary()), b"").to_pylist()
-        tokens = np.frombuffer(b"".join(raw), "<u4")
-        ends = np.cumsum([0, *[len(x) // 4 for x in raw]])
+        raw = pc.fill_null(ids.cast(pa.large_binary()), b"")
+        ends = distinct_offsets(raw) // 4
+        tokens = np.frombuffer(_content(raw), "<u4")
         head = np.zeros(len(tokens) + 1, bool)
         head[:-1] = self.blank[tokens]
         head[ends] = True
         cuts = np.flatnonzero(head)
         runs = pa.Array.from_buffers(
-            pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 4).astype(np.int64)), pa.py_buffer(tokens.tobytes())]
+            pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 4).astype(np.int64)), pa.py_buffer(tokens)]
         ).dictionary_encode()
         distinct = runs.dictionary
         lists = pa.LargeListArray.from_arrays(
-            pa.array(distinct_offsets(distinct) // 4), pa.array(np.frombuffer(b"".join(distinct.to_pylist()), "<i4"))
+            pa.array(distinct_offsets(distinct) // 4), pa.array(np.frombuffer(_content(distinct), "<i4"))
         )
         self.db.register("encoded", pa.table({"run": np.arange(len(distinct)), "ids": lists}))
-        pieces = [x.encode("latin-1") for x in self.db.sql(_DECODE).to_arrow_table().column("bytes").to_pylist()]
-        taken = pa.array(pieces, pa.large_binary()).take(runs.indices)
-        return _joined(taken, np.searchsorted(cuts, ends)).cast(pa.binary())
+        found = self.db.sql(_DECODE).to_arrow_table().column("bytes").combine_chunks().cast(pa.large_string())
+        pieces = pa.Array.from_buffers(
+            pa.large_binary(),
+            len(found),
+            [
+                None,
+                pa.py_buffer(np.concatenate([[0], np.cumsum(pc.utf8_length(found).to_numpy(zero_copy_only=False))]).astype(np.int64)),
+                pa.py_buffer(str(_content(found), "utf-8").encode("latin-1")),
+            ],
+        )
+        return _joined(pieces.take(runs.indices), np.searchsorted(cuts, ends)).cast(pa.binary())
+
+
+def _content(array: pa.Array) -> memoryview:
+    """All bytes of a large array of strings or binaries, one value after the other."""
+    offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
+    return memoryview(array.buffers()[2] or b"")[offsets[0] : offsets[-1]] if len(array) else memoryview(b"")
 
 
 def distinct_offsets(array: pa.Array) -> np.ndarray:
@@ -232,7 +252,14 @@ def _joined(pieces: pa.Array, starts: np.ndarray) -> pa.Array:
     )
 
 
-@lru_cache(maxsize=2)
+def release_memory() -> None:
+    """Give freed memory back to the system: an idle worker counts against its executor, too."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker, file and pattern, kept between the tasks of a worker."""
     return Codec(path, pattern)
@@ -253,7 +280,8 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -
                 ids = own.encode(batch.column("text"))
                 out = {"doc_id": batch.column("doc_id"), "ids": ids}
                 yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
-            pa.default_memory_pool().release_unused()
+                del ids, out
+            release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
 
@@ -267,5 +295,6 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for batch in slices(whole, "ids", 2 * SLICE):
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
+            release_memory()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")
