@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import ctypes
+import gc
 import heapq
 from collections.abc import Iterator
 from contextlib import suppress
@@ -23,7 +24,7 @@ LONG_WORD = 512
 # met since the last time are forgotten, so memory stays bounded and common words are never learned again.
 REMEMBERED = 300_000
 # Bytes of texts encoded in one step.
-SLICE = 6 << 20
+SLICE = 4 << 20
 # Words one recursive query contracts at a time, and the memory its database may hold.
 WORDS_PER_QUERY = 20_000
 DATABASE_MEMORY = "150MB"
@@ -253,7 +254,9 @@ def _joined(pieces: pa.Array, starts: np.ndarray) -> pa.Array:
 
 
 def release_memory() -> None:
-    """Give freed memory back to the system: an idle worker counts against its executor, too."""
+    """Forget the codec and give freed memory back: the next stage's tasks run in the same workers."""
+    codec.cache_clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)
@@ -261,7 +264,7 @@ def release_memory() -> None:
 
 @lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker, file and pattern, kept between the tasks of a worker."""
+    """One codec per worker, kept to the end of its task."""
     return Codec(path, pattern)
 
 
@@ -281,7 +284,9 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -
                 out = {"doc_id": batch.column("doc_id"), "ids": ids}
                 yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
                 del ids, out
-            release_memory()
+            pa.default_memory_pool().release_unused()
+        del own
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
 
@@ -295,6 +300,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for batch in slices(whole, "ids", 2 * SLICE):
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
-            release_memory()
+        del own
+        release_memory()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")

@@ -91,4 +91,61 @@ SQL: dict[str, str] = {
             vec_id <= coalesce(b, vec_id) AS kept
         FROM embeddings LEFT JOIN lowest ON lowest.a = vec_id LEFT JOIN own ON own.a = vec_id
     """,
+    "op11_importance_resampling": f"""
+        WITH crc AS (
+            SELECT list(list_reduce([i] || range(0, 8),
+                lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+            FROM (SELECT unnest(range(0, 256)) AS i)),
+        doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        word AS (
+            SELECT 's' AS side, doc_id, unnest(w) AS w FROM doc
+            UNION ALL SELECT 't', NULL, unnest(w) FROM (SELECT {_WORDS} AS w FROM benchmark)),
+        hashed AS (
+            SELECT w, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM crc, (
+                SELECT w, list_transform(range(0, strlen(w)), lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT)) AS b
+                FROM (SELECT DISTINCT w FROM word))),
+        held AS (SELECT side, doc_id, bucket FROM word JOIN hashed USING (w)),
+        size AS (SELECT count(*) FILTER (WHERE side = 's') AS sall, count(*) FILTER (WHERE side = 't') AS tall FROM held),
+        gain AS (
+            SELECT bucket, floor(1000 * ln(((t + 1) * (sall + 10000)::DOUBLE) / ((s + 1) * (tall + 10000)::DOUBLE))) AS g
+            FROM size, (SELECT bucket, count(*) FILTER (WHERE side = 's') AS s, count(*) FILTER (WHERE side = 't') AS t FROM held GROUP BY bucket)),
+        total AS (SELECT doc_id, count(*) AS n, floor(sum(g) / count(*)) AS weight FROM held JOIN gain USING (bucket) WHERE side = 's' GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM doc LEFT JOIN total USING (doc_id)),
+        ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+        SELECT scored.*, CASE WHEN r <= 10 * able // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
+    "op12_collocations": """
+        WITH piece AS (
+            SELECT lang, regexp_extract_all(p, '[^ \\t]+') AS w
+            FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+                FROM documents)),
+        total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+        gram AS (
+            SELECT lang, list_slice(w, i, i + k - 1) AS g
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, range(1, 6) AS s(k) WHERE len(w) >= k)),
+        held AS (SELECT lang, g, count(*) AS f FROM gram GROUP BY ALL HAVING f >= 100),
+        cand AS (SELECT lang, g, f AS a, len(g) AS size FROM held WHERE len(g) > 1),
+        inner_part AS (
+            SELECT lang, list_slice(g, i, i + k - 1) AS g, max(a) AS longer
+            FROM (SELECT lang, g, a, size, k, unnest(range(1, size - k + 2)) AS i FROM cand, range(2, 5) AS s(k) WHERE size > k) GROUP BY ALL),
+        kept AS (SELECT cand.* FROM cand LEFT JOIN inner_part USING (lang, g) WHERE longer IS NULL OR longer < a),
+        cut AS (SELECT *, unnest(range(1, size)) AS k FROM kept),
+        scored AS (
+            SELECT cut.lang, cut.g, a, k, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM cut JOIN held x ON x.lang = cut.lang AND x.g = list_slice(cut.g, 1, k)
+            JOIN held y ON y.lang = cut.lang AND y.g = list_slice(cut.g, k + 1, size) JOIN total ON total.lang = cut.lang),
+        weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+        ranked AS (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+                array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM weakest)
+        SELECT * FROM ranked WHERE rank <= 2000
+    """,
 }

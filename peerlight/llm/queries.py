@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerlight.llm.bpe import bpe_encode
+from peerlight.llm.collocations import mine_collocations
 from peerlight.llm.common import read_table
 from peerlight.llm.decontaminate import find_contamination
 from peerlight.llm.embeddings import near_duplicate_vectors
+from peerlight.llm.htmltext import extract_main_text
 from peerlight.llm.language import identify_language
 from peerlight.llm.licenses import scan_licenses
 from peerlight.llm.lines import dedup_lines
 from peerlight.llm.ngrams import ngram_jaccard_join
+from peerlight.llm.resampling import importance_resample
 from peerlight.llm.secrets import KINDS, scan_secrets
 from peerlight.llm.substrings import remove_repeats
 from peerlight.llm.warc import warc_round_trip
@@ -118,3 +121,18 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read_table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@register
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@register
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return mine_collocations(read_table(spark, folder, "documents"))
+
+
+@register
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(read_table(spark, folder, "pages"))
