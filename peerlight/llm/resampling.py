@@ -112,8 +112,8 @@ def _digits(fields: list[Field]) -> list[Column]:
 def radix_ranks(rows: DataFrame, ascending: list[Column], rank: str = "rank") -> DataFrame:
     """`rows` with their rank from 1 in the order of the given bigint keys, the most significant first.
 
-    Least-significant-digit radix sort. Keys are joined to one composite key without the bits in which no two
-    rows differ, NULL after all values. A pass is a stable counting sort by one digit: rows are counted per
+    Least-significant-digit radix sort. Keys are joined to one composite key, each counted from its least value, NULL
+    after all values. A pass is a stable counting sort by one digit: rows are counted per
     digit and block, global prefix sums of the counts give each block's first destination for the digit, and
     a row's place among its block's rows with that digit is added. Blocks hold `BLOCK_ROWS` rows, so no task
     depends on a digit's or key's frequency. Each pass is a written table. Ranks of rows with equal keys
@@ -129,10 +129,12 @@ def radix_ranks(rows: DataFrame, ascending: list[Column], rank: str = "rank") ->
     for name in reversed(names):
         low, high = seen[f"{name}_min"], seen[f"{name}_max"]
         if low is not None and low != high:
-            # Sign bit flipped, two's complement sorts like an unsigned number; equal leading bits decide nothing.
-            width = min(((low ^ high) & ((1 << 64) - 1)).bit_length(), 64)
-            unsigned = F.col(name).bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
-            fields.append((F.coalesce(unsigned, F.lit(0).cast("long")), width))
+            if high - low < 1 << 63:
+                number, width = F.col(name) - F.lit(low).cast("long"), (high - low).bit_length()
+            else:
+                # With its sign bit flipped, two's complement sorts like an unsigned number.
+                number, width = F.col(name).bitwiseXOR(F.lit(-(1 << 63)).cast("long")), 64
+            fields.append((F.coalesce(number, F.lit(0).cast("long")), width))
         if seen[f"{name}_null"]:
             fields.append((F.col(name).isNull().cast("long"), 1))
     # Without any difference a single pass of equal digits numbers the rows in their table's order.
