@@ -19,6 +19,7 @@ from peerlight.operators.clean import (
     clean_recipient_data,
 )
 from peerlight.operators.features import build_features
+from peerlight.plans.incremental import read_manifest, refresh_features, source_manifest, write_manifest
 from peerlight.sources import (
     has_multi_year_raw_data,
     load_drug_data,
@@ -77,14 +78,23 @@ def _snapshot_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def reuse_or_build_features(spark: SparkSession, root: str, path: str) -> tuple[DataFrame, int, bool]:
-    """The feature snapshot, its row count, and whether it was reused.
+def reuse_or_build_features(
+    spark: SparkSession, root: str, path: str, sample_fraction: float = 1.0, incremental: bool = False
+) -> tuple[DataFrame, int, bool]:
+    """The feature snapshot, its row count, and whether it was reused as it was.
 
-    A snapshot is reused only when the raw files name a single year; otherwise it is rebuilt and
-    written by year, so that later scans can skip years.
+    A snapshot is reused only when the raw files name a single year and it was built with the same
+    `sample_fraction`; otherwise it is rebuilt and written by year, so that later scans can skip years.
+    `incremental` reuses all years whose inputs have not changed and computes only the others.
     """
-    existing = None if has_multi_year_raw_data(spark, root) else _snapshot_or_none(spark, path)
+    if incremental:
+        saved, rows, years = refresh_features(spark, root, path, sample_fraction)
+        return saved, rows, not years
+    manifest = read_manifest(spark, path) or {}
+    alike = {entry["settings"] for entry in manifest.values()} <= {f"sample_fraction={sample_fraction}"}
+    existing = _snapshot_or_none(spark, path) if alike and not has_multi_year_raw_data(spark, root) else None
     if existing is not None:
         return existing, existing.count(), True
-    built, rows = snapshot(build_featured_dataset(spark, root), path, partition_by=[REPORT_YEAR])
+    built, rows = snapshot(build_featured_dataset(spark, root, sample_fraction), path, partition_by=[REPORT_YEAR])
+    write_manifest(spark, path, source_manifest(spark, root, settings=f"sample_fraction={sample_fraction}"))
     return built, rows, False

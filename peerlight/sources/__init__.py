@@ -1,5 +1,6 @@
 from peerlight.sources.loaders import (
     add_report_year,
+    column_kinds,
     has_multiple_years,
     has_multi_year_raw_data,
     list_datasets,
@@ -15,9 +16,12 @@ from peerlight.sources.loaders import (
     load_yearly_csvs,
     normalize_prescriber_schema,
     read_csv,
+    read_raw_csv,
+    types_of_kinds,
     union_years,
     year_in_name,
 )
+from peerlight.sources.quoted import read_quoted_csv
 from peerlight.sources.schema import validate_any_column, validate_columns
 from peerlight.sources.snapshots import (
     materialize,
@@ -32,6 +36,7 @@ from peerlight.sources.snapshots import (
 
 __all__ = [
     "add_report_year",
+    "column_kinds",
     "has_multi_year_raw_data",
     "has_multiple_years",
     "list_datasets",
@@ -49,10 +54,13 @@ __all__ = [
     "normalize_prescriber_schema",
     "persisted",
     "read_csv",
+    "read_quoted_csv",
+    "read_raw_csv",
     "save_json",
     "save_model",
     "shared_folder",
     "snapshot",
+    "types_of_kinds",
     "union_years",
     "validate_any_column",
     "validate_columns",
