@@ -16,7 +16,7 @@ from peerlight.llm.common import slices
 from peerlight.sources.snapshots import materialize
 
 # Piece ends become full stops, which no word can hold, tabs become blanks, A-Z small letters.
-_PIECES = str.maketrans({c: "." for c in ".,;:!?\n\x0b\x0c\r"} | {"\t": " "} | {chr(c): chr(c + 32) for c in range(65, 91)})
+_PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t" + bytes(range(65, 91)), b"." * 9 + b" " + bytes(range(97, 123)))
 # Words of one row of the coded corpus; a row is cut at ends of pieces only, so no phrase is cut.
 CHUNK_WORDS = 1 << 20
 # Phrases of one broadcast trie (some 20 bytes each); more candidates are counted in further passes.
@@ -38,9 +38,8 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
                 texts = batch.column("text")
                 for number, lang in enumerate(langs.dictionary.to_pylist()):
                     own = texts.filter(pc.equal(langs.indices, number)).to_pylist()
-                    flat = pc.ascii_split_whitespace(
-                        pa.array([".".join(x for x in own if x).translate(_PIECES).replace(".", " . ")], pa.large_string())
-                    ).flatten()
+                    whole_text = ".".join(x for x in own if x).encode().translate(_PIECES).replace(b".", b" . ")
+                    flat = pc.ascii_split_whitespace(pa.array([whole_text], pa.large_binary()).cast(pa.large_string())).flatten()
                     coded = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
                     codes = coded.indices.to_numpy(zero_copy_only=False)
                     words = coded.dictionary.cast(pa.large_string())
@@ -50,16 +49,19 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
                     while low < len(codes):
                         high = int(ends[min(np.searchsorted(ends, low + CHUNK_WORDS), len(ends) - 1)])
                         high = high if high > low else int(ends[np.searchsorted(ends, low, "right")])
-                        kinds, local, counts = np.unique(codes[low:high], return_inverse=True, return_counts=True)
-                        real = kinds != stop
-                        place = np.where(real, np.cumsum(real) - 1, -1).astype("<i4")
+                        counts = np.bincount(codes[low:high], minlength=len(words))
+                        if stop >= 0:
+                            counts[stop] = 0
+                        kinds = np.flatnonzero(counts)
+                        place = np.full(len(words), -1, "<i4")
+                        place[kinds] = np.arange(len(kinds))
                         yield pa.record_batch(
                             {
                                 "chunk": [uuid.uuid4().hex],
                                 "lang": pa.array([lang], pa.string()),
-                                "words": pa.array([words.take(pa.array(kinds[real])).to_pylist()], pa.list_(pa.string())),
-                                "counts": pa.array([counts[real]], pa.list_(pa.int64())),
-                                "codes": pa.array([place[local].tobytes()], pa.binary()),
+                                "words": pa.array([words.take(pa.array(kinds)).to_pylist()], pa.list_(pa.string())),
+                                "counts": pa.array([counts[kinds]], pa.list_(pa.int64())),
+                                "codes": pa.array([place[codes[low:high]].tobytes()], pa.binary()),
                             }
                         )
                         low = high
@@ -107,9 +109,12 @@ class DoubleArrayTrie:
 
     def __init__(self, phrases: np.ndarray):
         count, self.length = phrases.shape
-        phrases = phrases[order := np.lexsort(phrases.T[::-1])]
-        self.words = np.unique(phrases)
-        symbols = np.searchsorted(self.words, phrases)
+        # Common words get small symbols, so that families of children lie close together.
+        self.words, found, uses = np.unique(phrases, return_inverse=True, return_counts=True)
+        self.symbols = np.empty(len(self.words), np.int64)
+        self.symbols[np.argsort(-uses, kind="stable")] = np.arange(len(self.words))
+        symbols = self.symbols[found.reshape(phrases.shape)]
+        symbols = symbols[order := np.lexsort(symbols.T[::-1])]
         room = len(self.words) + 2 * count * self.length + 2 * _WINDOW
         self.base = np.zeros(room, np.int32)
         self.check = np.full(room, -1, np.int32)
@@ -124,17 +129,29 @@ class DoubleArrayTrie:
             parents, kids = node[first], symbols[first, depth]
             starts = np.append(np.flatnonzero(np.append(True, parents[1:] != parents[:-1])), len(first))
             child_states = np.zeros(len(first), np.int64)
-            free_from = 1
-            for i in np.argsort(starts[:-1] - starts[1:], kind="stable"):
+            # Large families first; those of like size go on where the last one found room.
+            size = room_from = 0
+            sizes = np.diff(starts)
+            single = np.flatnonzero(sizes == 1)
+            for i in np.argsort(-sizes, kind="stable")[: len(sizes) - len(single)]:
                 own = kids[starts[i] : starts[i + 1]]
-                while used[free_from]:
-                    free_from += 1
-                used, base = self._fit(used, own, free_from)
+                if len(own).bit_length() != size:
+                    size, room_from = len(own).bit_length(), 1
+                used, base, room_from = self._fit(used, own, room_from)
                 state = states[parents[starts[i]]]
                 self.base[state] = base
                 used[base + own] = True
                 self.check[base + own] = state
                 child_states[starts[i] : starts[i + 1]] = base + own
+            # Single children take whatever is left, all at once.
+            lone = starts[:-1][single]
+            used = self._grown(used, int(used.sum()) + len(self.words) + len(lone))
+            slots = (np.flatnonzero(~used[len(self.words) :]) + len(self.words))[: len(lone)]
+            parent_states = states[parents[lone]]
+            self.base[parent_states] = slots - kids[lone]
+            self.check[slots] = parent_states
+            used[slots] = True
+            child_states[lone] = slots
             node, states = np.cumsum(new) - 1, child_states
         size = int(np.flatnonzero(used)[-1]) + 1
         self.base, self.check = self.base[:size].copy(), self.check[:size].copy()
@@ -142,29 +159,37 @@ class DoubleArrayTrie:
         self.accepts = np.full(size, -1, np.int32)
         self.accepts[states[node]] = order
 
-    def _fit(self, used: np.ndarray, own: np.ndarray, low: int) -> tuple[np.ndarray, int]:
-        """First base from which all of a node's symbols fall on free slots; the arrays grow as needed."""
-        at = max(low, int(own[0]))
+    def _grown(self, used: np.ndarray, least: int) -> np.ndarray:
+        """Slots in use, with all arrays lengthened to more than `least` slots."""
+        if least >= len(used):
+            more = least + len(used) // 2 - len(used) + _WINDOW
+            used = np.append(used, np.zeros(more, bool))
+            self.base = np.append(self.base, np.zeros(more, np.int32))
+            self.check = np.append(self.check, np.full(more, -1, np.int32))
+        return used
+
+    def _fit(self, used: np.ndarray, own: np.ndarray, low: int) -> tuple[np.ndarray, int, int]:
+        """First base from `low` on that puts all of a node's symbols on free slots, and where to look next.
+
+        The arrays grow as needed.
+        """
+        at = low
         while True:
-            if at + _WINDOW + int(own[-1]) + 1 >= len(used):
-                more = len(used) + int(own[-1]) + _WINDOW
-                used = np.append(used, np.zeros(more, bool))
-                self.base = np.append(self.base, np.zeros(more, np.int32))
-                self.check = np.append(self.check, np.full(more, -1, np.int32))
-            bases = np.flatnonzero(~used[at : at + _WINDOW]) + at - int(own[0])
-            for kid in own[1:]:
+            used = self._grown(used, at + _WINDOW + int(own[-1]) + 1)
+            bases = np.arange(at, at + _WINDOW)
+            for kid in own:
                 bases = bases[~used[bases + kid]]
                 if not len(bases):
                     break
             if len(bases):
-                return used, int(bases[0])
+                return used, int(bases[0]), int(bases[0])
             at += _WINDOW
 
     def states(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start places at which a phrase stands, and the accepting states: all places advance together."""
         known = np.searchsorted(self.words, ids)
         known[known == len(self.words)] = 0
-        symbols = np.where(self.words[known] == ids, known, -1)
+        symbols = np.where(self.words[known] == ids, self.symbols[known], -1)
         places, states = np.flatnonzero(symbols >= 0), None
         for depth in range(self.length):
             places = places[places + depth < len(ids)]
