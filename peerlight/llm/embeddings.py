@@ -80,6 +80,12 @@ def fit_quantiser(sample: np.ndarray, cells: int, subspaces: int, codewords: int
     return Quantiser(centres, np.stack([_lloyd(rest[:, m], k) for m in range(subspaces)]))
 
 
+def unit_vectors(vectors: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, by their largest component first, so no square over- or underflows."""
+    scaled = vectors / np.abs(vectors).max(axis=1)[:, None]
+    return scaled / np.linalg.norm(scaled, axis=1)[:, None]
+
+
 def near_duplicate_vectors(
     embeddings: DataFrame,
     least: float = 0.93,
@@ -107,7 +113,9 @@ def near_duplicate_vectors(
     rows = embeddings.select("vec_id", "label", value.alias("v"))
     bad = F.lit(float("inf"))
     size = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.coalesce(F.when(F.isnan(x) | (F.abs(x) == bad), None).otherwise(F.abs(x)), F.lit(bad)))
-    usable = F.coalesce((size > 0) & (size < bad), F.lit(False)) & F.col("label").isNotNull()
+    # In double precision a vector whose squares all vanish has length zero.
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.coalesce(x * x, F.lit(0.0)))
+    usable = F.coalesce((size > 0) & (size < bad) & (squares > 0), F.lit(False)) & F.col("label").isNotNull()
     tagged = materialize(
         rows.withColumn("usable", usable).withColumn(
             "class", F.when(F.col("usable"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.to_json(F.struct("v"))), 256))
@@ -123,8 +131,7 @@ def near_duplicate_vectors(
     for dim, total in sorted((r["dim"], r["n"]) for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()):
         own = classes.filter(F.col("dim") == dim)
         draw = F.pmod(F.xxhash64("class"), F.lit(1 << 30)) < int(min(1.0, sample_rows / total) * (1 << 30)) + 1
-        sample = np.array([r["v"] for r in own.filter(draw).orderBy("class").limit(2 * sample_rows).collect()] or [[1.0] * dim])
-        sample /= np.linalg.norm(sample, axis=1)[:, None]
+        sample = unit_vectors(np.array([r["v"] for r in own.filter(draw).orderBy("class").limit(2 * sample_rows).collect()] or [[1.0] * dim]))
         parts = max(m for m in range(1, min(subspaces, dim) + 1) if dim % m == 0)
         index = own.sparkSession.sparkContext.broadcast(fit_quantiser(sample, cells, parts))
         links = _links(own, index, least, block_rows)
@@ -159,8 +166,7 @@ def _links(classes: DataFrame, index, least: float, block_rows: int) -> DataFram
         """One row in the class's own list, and one query row per list it must visit."""
         q = index.value
         for batch in batches:
-            units = np.array(batch.column("v").to_pylist(), float)
-            units /= np.linalg.norm(units, axis=1)[:, None]
+            units = unit_vectors(np.array(batch.column("v").to_pylist(), float))
             home = q.lists(units)
             codes, missed = q.codes(units, home)
             visit = q.probes(units, reach)

@@ -6,6 +6,8 @@ parameter of bounded size, so their k-grams are the broadcast side of the join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,9 @@ def _kgrams(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
 
 def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
     """(template, label, exact, words) of all templates with at least K words."""
+    short = [p for p in phrases if len([w for w in re.split(_BREAKS, p) if w]) < K]
+    if short:
+        raise ValueError(f"phrases need at least {K} words to have a k-gram: {short}")
     rows = [(p, label, True) for p, label in phrases.items()] + [(t, label, False) for label, t in notices.items()]
     literal = F.array(
         *[

@@ -48,7 +48,7 @@ class LevelledRuns:
     A run is a written table, range-partitioned and sorted by key, whose keys occur in no other run.
     """
 
-    def __init__(self, fanout: int = 4):
+    def __init__(self, fanout: int = 2):
         self.fanout = fanout
         self.levels: list[list[DataFrame]] = []
 
@@ -72,7 +72,7 @@ class LevelledRuns:
             self.add(merged, level + 1)
 
 
-def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 4) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """(doc, keys): the line keys each document loses because a smaller doc_id holds them.
 
     Documents come in `batches` ranges of ascending doc_id, as they would arrive over time. A batch
@@ -110,7 +110,7 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: i
 
 
 def dedup_lines(
-    docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 4, carry: list[str] | None = None
+    docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 2, carry: list[str] | None = None
 ) -> DataFrame:
     """Documents with their repeated lines removed: doc_id, n_lines, n_dropped, kept text.
 

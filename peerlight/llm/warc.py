@@ -121,7 +121,8 @@ def read_chunks(spark: SparkSession, archives: DataFrame, folder: str, chunk_byt
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _CHUNK_ROWS)
 
-    return archives.select("path").repartition(F.col("path")).mapInArrow(run, CHUNKS)
+    # Path rows are tiny, so a shuffle sized by bytes would give all archives to one task; a stated number does not.
+    return archives.select("path").repartition(max(1, archives.count()), "path").mapInArrow(run, CHUNKS)
 
 
 _CHUNK_ROWS = pa.schema(
