@@ -25,6 +25,7 @@ from peerlight.sources.quoted import read_quoted_csv
 from peerlight.sources.schema import validate_any_column, validate_columns
 from peerlight.sources.snapshots import (
     materialize,
+    materialize_counted,
     persisted,
     save_json,
     save_model,
@@ -51,6 +52,7 @@ __all__ = [
     "load_recipient_data",
     "load_yearly_csvs",
     "materialize",
+    "materialize_counted",
     "normalize_prescriber_schema",
     "persisted",
     "read_csv",

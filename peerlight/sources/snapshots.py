@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 
@@ -38,6 +38,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """`materialize`, and aggregates of the written rows, which read only the columns they name.
+
+    `DataFrame.observe` would take them while the rows are written, but a session that has used it can no
+    longer run MLlib models: their tasks then fail to serialise.
+    """
+    table = materialize(df)
+    return table, table.agg(*[metric.alias(name) for name, metric in metrics.items()]).first().asDict()
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Overwrite a Parquet snapshot, split by the partition columns that exist."""
     writer = df.write.mode("overwrite")

@@ -73,3 +73,30 @@ def test_json_artifacts_are_plain_json(finished):
     for name in ("hybrid_summary", "model_metrics", "run_record"):
         lines = [line for part in Path(out, name).glob("*.json") for line in part.read_text().splitlines()]
         assert lines and all(json.loads(line) for line in lines)
+
+
+def test_summaries_of_labels_and_balance(spark, finished):
+    out, summary = finished
+    labels = spark.read.json(f"{out}/label_summary").first()
+    hybrid = spark.read.parquet(f"{out}/hybrid_risk_scores")
+    assert labels.cohort_rows == hybrid.count() == labels.labeled_rows - labels.excluded_before_rows
+    assert labels.cohort_positive_rows == hybrid.filter("is_fraud = 1").count() <= labels.positive_rows
+    assert labels.positive_rows + labels.negative_rows == labels.labeled_rows
+    assert labels.signal_cia_flag >= hybrid.agg(F.sum("cia_flag")).first()[0]
+    balance = spark.read.json(f"{out}/balance_summary").first()
+    assert balance.positive_count + balance.negative_count == summary["train_rows"]
+    assert balance.balanced_rows == summary["balanced_train_rows"] and balance.sampling_fraction == summary["sampling_fraction"]
+    assert spark.read.json(f"{out}/review_list").count() <= 25
+
+
+def test_one_aggregate_plans_the_training(spark, finished):
+    out, _ = finished
+    rows, _ = model.modeling_rows(spark.read.parquet(f"{out}/hybrid_risk_scores"))
+    plan = model.training_plan(rows)
+    train, test = model.split_train_test(rows)
+    sizes = {(r.is_fraud): r["count"] for r in train.groupBy("is_fraud").count().collect()}
+    assert sizes == {1.0: plan["train_positives"], 0.0: plan["train_negatives"]}
+    table, rest, summary = model.drawn_training_rows(rows, plan)
+    balanced, wanted = model.rebalance_training_data(train)
+    assert summary == wanted and table.count() == balanced.count() == summary["balanced_rows"]
+    assert table.exceptAll(balanced).count() == 0 and rest.exceptAll(test).count() == 0
