@@ -12,11 +12,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import slices
+from peerlight.llm.common import releasing, slices
 from peerlight.sources.snapshots import materialize
 
 # Piece ends become full stops, which no word can hold, tabs become blanks, A-Z small letters.
 _PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t" + bytes(range(65, 91)), b"." * 9 + b" " + bytes(range(97, 123)))
+# Bytes of texts coded in one step.
+CHUNK_BYTES = 2 << 20
 # Words of one row of the coded corpus; a row is cut at ends of pieces only, so no phrase is cut.
 CHUNK_WORDS = 1 << 20
 # Phrases of one broadcast trie (some 20 bytes each); more candidates are counted in further passes.
@@ -33,7 +35,7 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", CHUNK_BYTES):
                 langs = batch.column("lang").dictionary_encode()
                 texts = batch.column("text")
                 for number, lang in enumerate(langs.dictionary.to_pylist()):
@@ -69,7 +71,7 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
                             low += 1
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(code, "chunk string, lang string, words array<string>, counts array<long>, codes binary")
+    return texts.mapInArrow(releasing(code), "chunk string, lang string, words array<string>, counts array<long>, codes binary")
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -101,7 +103,7 @@ def numbered_corpus(chunks: DataFrame, words: DataFrame) -> DataFrame:
 
     listed = chunks.select("chunk", "lang", F.posexplode("words").alias("pos", "word"))
     known = listed.join(words, ["lang", "word"]).groupBy("chunk").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
-    return chunks.select("chunk", "codes").join(known, "chunk").select("codes", "known").mapInArrow(number, "ids binary")
+    return chunks.select("chunk", "codes").join(known, "chunk").select("codes", "known").mapInArrow(releasing(number), "ids binary")
 
 
 class DoubleArrayTrie:
@@ -222,7 +224,7 @@ def pair_counts(corpus: DataFrame) -> DataFrame:
                 keys, counts = np.unique((ids[:-1][both] << 32) | ids[1:][both], return_counts=True)
                 yield pa.record_batch({"a": (keys >> 32).astype(np.int32), "b": (keys & 0xFFFFFFFF).astype(np.int32), "f": counts})
 
-    counted = corpus.mapInArrow(count, "a int, b int, f long").groupBy("a", "b").agg(F.sum("f").alias("f"))
+    counted = corpus.mapInArrow(releasing(count), "a int, b int, f long").groupBy("a", "b").agg(F.sum("f").alias("f"))
     return counted.select(F.array("a", "b").alias("ids"), "f")
 
 
@@ -234,10 +236,11 @@ def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int)
     """
     spark = corpus.sparkSession
     marked = corpus.withColumn("marks", F.lit(None).cast("binary"))
-    length = 0
+    length, all_sent = 0, []
     for flat, trie in _tries(frequent, trie_phrases):
         length = flat.shape[1]
         sent = spark.sparkContext.broadcast(trie)
+        all_sent.append(sent)
 
         def mark(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -247,7 +250,7 @@ def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int)
                     marks[sent.value.states(ids)[0]] = True
                     yield pa.record_batch({"ids": pa.array([raw], pa.binary()), "marks": pa.array([marks.tobytes()], pa.binary())})
 
-        marked = marked.mapInArrow(mark, "ids binary, marks binary")
+        marked = marked.mapInArrow(releasing(mark), "ids binary, marks binary")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,7 +262,10 @@ def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int)
                 offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (length + 1))
                 yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, values)})
 
-    return marked.mapInArrow(candidates, "ids array<int>").distinct()
+    found = materialize(marked.mapInArrow(releasing(candidates), "ids array<int>").distinct())
+    for sent in all_sent:
+        sent.destroy()
+    return found
 
 
 def phrase_counts(corpus: DataFrame, phrases: DataFrame, trie_phrases: int) -> DataFrame:
@@ -283,7 +289,8 @@ def phrase_counts(corpus: DataFrame, phrases: DataFrame, trie_phrases: int) -> D
             offsets = pa.array(np.arange(len(hit) + 1, dtype=np.int32) * trie.length)
             yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, pa.array(found.ravel().astype(np.int32))), "f": total[hit]})
 
-        parts.append(materialize(corpus.mapInArrow(count, "ids array<int>, f long").groupBy("ids").agg(F.sum("f").alias("f"))))
+        parts.append(materialize(corpus.mapInArrow(releasing(count), "ids array<int>, f long").groupBy("ids").agg(F.sum("f").alias("f"))))
+        sent.destroy()
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], "ids array<int>, f long")
 
 
@@ -321,7 +328,7 @@ def mine_collocations(
     if longest > 1:
         levels.append(materialize(pair_counts(corpus).filter(often)))
     for _ in range(3, longest + 1):
-        candidates = materialize(longer_candidates(corpus, levels[-1], trie_phrases))
+        candidates = longer_candidates(corpus, levels[-1], trie_phrases)
         levels.append(materialize(phrase_counts(corpus, candidates, trie_phrases).filter(often)))
     known = reduce(DataFrame.unionAll, levels)
     phrases = reduce(DataFrame.unionAll, levels[1:], levels[0].limit(0))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,24 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         yield batch.slice(low, high - low)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers live on between stages and count against their executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run` for a task whose worker gives its memory back when the task ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return task
+
+
 def carried(columns: list[str] | None) -> list[Column]:
     """Columns that travel with a row through an operator, as one struct whose fields clash with nothing."""
     return [F.struct(*[F.col(c) for c in columns]).alias("carried")] if columns else []
