@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import base64
-import ctypes
-import gc
 import heapq
 from collections.abc import Iterator
-from contextlib import suppress
 from functools import lru_cache
 from itertools import islice
 
@@ -16,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from peerlight.llm.common import slices
+from peerlight.llm.common import release_memory, slices
 
 # Words longer than this go through a heap by the same rule: the recursion takes as many rounds as a word has merges.
 LONG_WORD = 512
@@ -253,15 +250,6 @@ def _joined(pieces: pa.Array, starts: np.ndarray) -> pa.Array:
     )
 
 
-def release_memory() -> None:
-    """Forget the codec and give freed memory back: the next stage's tasks run in the same workers."""
-    codec.cache_clear()
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # other C libraries have no such call
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 @lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker, kept to the end of its task."""
@@ -286,6 +274,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -
                 del ids, out
             pa.default_memory_pool().release_unused()
         del own
+        codec.cache_clear()
         release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
@@ -301,6 +290,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
         del own
+        codec.cache_clear()
         release_memory()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")

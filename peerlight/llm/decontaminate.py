@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import carried, materialize, passed, slices, with_carried, words_of
+from peerlight.llm.common import carried, materialize, passed, releasing, slices, with_carried, words_of
 
 
 class WuManber:
@@ -80,7 +80,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = 10) -> DataFrame:
                 yield pa.record_batch({"words": pa.array(windows, pa.binary()), "item": pa.array(ids, pa.string())})
 
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    return rows.mapInArrow(run, "words binary, item string").groupBy("words").agg(F.collect_set("item").alias("items"))
+    return rows.mapInArrow(releasing(run), "words binary, item string").groupBy("words").agg(F.collect_set("item").alias("items"))
 
 
 def find_contamination(
@@ -124,7 +124,7 @@ def find_contamination(
             yield passed(batch, counts)
 
     return out.drop("text").mapInArrow(
-        count, with_carried("doc_id long, n_words long, n_hit long, items array<string>", out)
+        releasing(count), with_carried("doc_id long, n_words long, n_hit long, items array<string>", out)
     )
 
 
@@ -158,4 +158,4 @@ def _search(patterns):
                 }
                 yield passed(batch, out)
 
-    return run
+    return releasing(run)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import carried, passed, slices, with_carried
+from peerlight.llm.common import carried, passed, releasing, slices, with_carried
 
 UNKNOWN = "und"
 HOLD_OUT = 2
@@ -214,4 +214,4 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, carry
                 yield passed(batch, out)
 
     rows = docs.select("doc_id", _held_out().alias("held_out"), "text", *carried(carry))
-    return rows.mapInArrow(run, with_carried("doc_id long, held_out boolean, lang_pred string, score double", rows))
+    return rows.mapInArrow(releasing(run), with_carried("doc_id long, held_out boolean, lang_pred string, score double", rows))

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import carried, materialize, passed, slices, with_carried
+from peerlight.llm.common import carried, materialize, passed, releasing, slices, with_carried
 
 BLANKS = b" \t\n\x0b\x0c\r"
 LAST = (1 << 63) - 1
@@ -39,7 +39,7 @@ def _line_keys(docs: DataFrame, least: int) -> DataFrame:
                         owners.extend([doc] * len(own))
                 yield pa.record_batch({"key": pa.array(keys, pa.binary()), "doc": pa.array(owners, pa.int64())})
 
-    return docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").mapInArrow(run, "key binary, doc long")
+    return docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").mapInArrow(releasing(run), "key binary, doc long")
 
 
 class LevelledRuns:
@@ -146,5 +146,5 @@ def dedup_lines(
     return (
         rows.join(lost, "doc", "left")
         .drop("doc")
-        .mapInArrow(run, with_carried("doc_id long, n_lines long, n_dropped long, kept string", rows))
+        .mapInArrow(releasing(run), with_carried("doc_id long, n_lines long, n_dropped long, kept string", rows))
     )

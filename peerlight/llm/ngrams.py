@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import WORD_BYTES, connected_components, materialize, slices, small_components
+from peerlight.llm.common import WORD_BYTES, connected_components, materialize, releasing, slices, small_components
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -118,7 +118,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     }
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp binary, n_shingles long, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "doc_id long, fp binary, n_shingles long, bands array<long>")
 
 
 def ngram_jaccard_join(
@@ -221,7 +221,7 @@ def _sets_of(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
     ids = F.broadcast(ids) if members.count() <= BROADCAST_IDS else ids
     named = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     texts = named.unionAll(docs.select("doc_id", "text").filter("doc_id is null"))
-    return texts.mapInArrow(run, "fp binary, grams binary")
+    return texts.mapInArrow(releasing(run), "fp binary, grams binary")
 
 
 def _verify(least: float):
