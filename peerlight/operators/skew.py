@@ -53,7 +53,9 @@ def salted_left_join(rows: DataFrame, lookup: DataFrame, keys: list[str], hot: l
     if not hot:
         return rows.join(lookup, keys, "left")
     salt = "__salt"
-    # Equal rows need different salts, so their place counts too; it steers placement only.
+    # Equal rows need different salts, so their place counts too; it steers placement only. Rows are written
+    # first: a scan numbers them alike in every attempt of a task, rows from a shuffle may come in another order.
+    rows = materialize(rows)
     place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(name) for name in rows.columns])
     row_hash = F.pmod(place, F.lit(SPREAD)).cast("int")
     is_hot = _key_text(keys).isin(hot)
@@ -90,6 +92,8 @@ def weighted_left_join(
         *keys, *[F.col(name).alias(f"__hot_{name}") for name in values], F.lit(True).alias("__hot")
     )
     spread_key = keys[-1]
+    # Written first, so that every attempt of a task numbers its rows alike.
+    rows = materialize(rows)
     place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(name) for name in rows.columns])
     spread = F.pmod(place, F.lit(1 << 20))
     tagged = rows.join(F.broadcast(hot), keys, "left").withColumn(

@@ -29,6 +29,7 @@ from peerlight.sources import (
     load_doj_labels,
     load_leie,
     materialize_counted,
+    owned_snapshots,
     save_json,
     save_model,
     snapshot,
@@ -113,7 +114,13 @@ def run(
 
     `sample_fraction` thins the featured rows; `incremental` computes only the years whose inputs changed since
     the last run; `labels` and `anomaly` are further arguments of those steps, the rest of the training.
+    Intermediate tables are removed when the run ends well.
     """
+    with owned_snapshots(spark):
+        return _run(spark, root, out, report_year, horizon_years, sample_fraction, incremental, labels, anomaly, **training)
+
+
+def _run(spark, root, out, report_year, horizon_years, sample_fraction, incremental, labels, anomaly, **training) -> dict:
     leie = clean_leie(load_leie(spark, f"{root}/leie.csv"))
     cia, doj = load_cia_labels(spark, root), load_doj_labels(spark, root)
     featured, feature_rows, reused = reuse_or_build_features(

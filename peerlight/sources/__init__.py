@@ -26,7 +26,9 @@ from peerlight.sources.schema import validate_any_column, validate_columns
 from peerlight.sources.snapshots import (
     materialize,
     materialize_counted,
+    owned_snapshots,
     persisted,
+    remove_folder,
     save_json,
     save_model,
     shared_folder,
@@ -54,7 +56,9 @@ __all__ = [
     "materialize",
     "materialize_counted",
     "normalize_prescriber_schema",
+    "owned_snapshots",
     "persisted",
+    "remove_folder",
     "read_csv",
     "read_quoted_csv",
     "read_raw_csv",

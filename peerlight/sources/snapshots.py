@@ -27,13 +27,46 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders that the innermost owner removes, innermost last; written by the driver's threads.
+_OWNED: list[list[str]] = []
+
+
+def _fresh_folder(spark: SparkSession) -> str:
+    path = f"{shared_folder(spark)}/peerlight/{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system that Spark knows; False when there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def owned_snapshots(spark: SparkSession) -> Iterator[None]:
+    """Own the tables that `materialize` writes within the block, and remove them when it ends well.
+
+    After a failure they are left for a look. Nothing that outlives the block may read them.
+    """
+    _OWNED.append([])
+    try:
+        yield
+    except BaseException:
+        _OWNED.pop()
+        raise
+    for path in _OWNED.pop():
+        remove_folder(spark, path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute `df` once into a table of the shared folder and return a scan of that table.
 
     Cuts lineage, survives lost executors, and gives the planner the true size, so a small
     result is broadcast and a large one is not.
     """
-    path = f"{shared_folder(df.sparkSession)}/peerlight/{uuid.uuid4().hex}"
+    path = _fresh_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -49,9 +82,14 @@ def materialize_counted(df: DataFrame, metrics: dict[str, Column]) -> tuple[Data
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a Parquet snapshot, split by the partition columns that exist."""
-    writer = df.write.mode("overwrite")
+    """Overwrite a Parquet snapshot, split by the partition columns that exist.
+
+    Rows are first brought together by those columns, so each value's rows lie in as few files as the adaptive
+    target size (`spark.sql.adaptive.advisoryPartitionSizeInBytes`) asks for, not in one file per task; values
+    with many rows are still written by many tasks.
+    """
     columns = [name for name in partition_by or [] if name in df.columns]
+    writer = (df.hint("rebalance", *columns) if columns else df).write.mode("overwrite")
     if columns:
         writer = writer.partitionBy(*columns)
     writer.parquet(path)
