@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peerlight.names import OUTLIER_PERCENTILE, PEER_KEYS
 from peerlight.operators.clean import sanitize_numbers
-from peerlight.operators.skew import running_totals, weighted_left_join
+from peerlight.operators.skew import lookup_left_join, running_totals, weighted_left_join
 from peerlight.sources.schema import validate_columns
 from peerlight.sources.snapshots import materialize
 
@@ -38,7 +38,7 @@ def window_percent_ranks(df: DataFrame, measures: dict[str, str], peer_keys: lis
     """Percent ranks by window functions: one shuffle by peer group, one sort per measure."""
     return df.withColumns(
         {
-            out: F.percent_rank().over(Window.partitionBy(*peer_keys).orderBy(value))
+            out: F.percent_rank().over(Window.partitionBy(*peer_keys).orderBy(F.col(value).cast("double")))
             for out, value in measures.items()
         }
     )
@@ -51,39 +51,50 @@ def counted_percent_ranks(df: DataFrame, measures: dict[str, str], peer_keys: li
     of rows below it, from bounded running totals, and is joined back by value; combinations that
     hold many rows (no opioids and no payments, say) are broadcast instead of shuffled.
     Counts and ranks are narrow tables used several times, so each is computed once and kept.
-    The measures must hold no NULL.
+    A NULL measure ranks below all values and numbers are compared as doubles, as with windows.
     """
-    group, measure, value = "__peers", "__measure", "__value"
+    group, measure, value, absent = "__peers", "__measure", "__value", "__absent"
     columns = list(dict.fromkeys(measures.values()))
-    keyed = df.withColumn(group, F.struct(*peer_keys))
-    combos = materialize(keyed.groupBy(group, *columns).agg(F.count(F.lit(1)).alias("__n")))
+    # NULL is no join key, so each measure travels as a mark and a number.
+    parts = {name: (f"__absent_{name}", f"__value_{name}") for name in columns}
+    marks = {mark: F.col(name).isNull().cast("int") for name, (mark, _) in parts.items()}
+    numbers = {number: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name, (_, number) in parts.items()}
+    held = [column for part in parts.values() for column in part]
+    keyed = df.withColumn(group, F.struct(*peer_keys)).withColumns({**marks, **numbers})
+    combos = materialize(keyed.groupBy(group, *held).agg(F.count(F.lit(1)).alias("__n")))
 
     # All measures go through the running totals together, as values of one long table.
     stacked = F.explode(
         F.array(
             *[
-                F.struct(F.lit(name).alias(measure), F.col(name).cast("double").alias(value))
-                for name in columns
+                F.struct(F.lit(name).alias(measure), F.col(mark).alias(absent), F.col(number).alias(value))
+                for name, (mark, number) in parts.items()
             ]
         )
     )
     counts = (
         combos.select(group, "__n", stacked.alias("__one"))
-        .groupBy(group, f"__one.{measure}", f"__one.{value}")
+        .groupBy(group, f"__one.{measure}", f"__one.{absent}", f"__one.{value}")
         .agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("__combos"))
     )
-    others = F.col("rows_total") - 1
-    rank = F.when(others > 0, F.col("rows_below") / others).otherwise(F.lit(0.0)).alias("__rank")
-    totals = running_totals(counts, [measure, group], value, ["rows"])
-    ranks = materialize(totals.select(group, measure, value, "__combos", rank))
+    nulls = materialize(counts.filter(F.col(absent) == 1))
+    present = running_totals(counts.filter(F.col(absent) == 0).drop(absent), [measure, group], value, ["rows"])
+    below_all = nulls.select(measure, group, F.col("rows").alias("__nulls"))
+    totals = lookup_left_join(present, below_all, [measure, group])
+    first = F.coalesce("__nulls", F.lit(0))
+    others = F.col("rows_total") + first - 1
+    rank = F.when(others > 0, (F.col("rows_below") + first) / others).otherwise(F.lit(0.0)).alias("__rank")
+    none = nulls.select(group, measure, absent, value, "__combos", F.lit(0.0).alias("__rank"))
+    ranks = materialize(totals.select(group, measure, F.lit(0).alias(absent), value, "__combos", rank).unionByName(none))
 
     ranked = combos
     for out, name in measures.items():
+        mark, number = parts[name]
         own = ranks.filter(F.col(measure) == name)
-        lookup = own.select(group, F.col(value).alias(name), F.col("__rank").alias(out), "__combos")
-        ranked = weighted_left_join(ranked, lookup, [group, name], "__combos")
-    lookup = materialize(ranked.select(group, *columns, *measures, "__n"))
-    return weighted_left_join(keyed, lookup, [group, *columns], "__n").drop(group)
+        lookup = own.select(group, F.col(absent).alias(mark), F.col(value).alias(number), F.col("__rank").alias(out), "__combos")
+        ranked = weighted_left_join(ranked, lookup, [group, mark, number], "__combos")
+    lookup = materialize(ranked.select(group, *held, *measures, "__n"))
+    return weighted_left_join(keyed, lookup, [group, *held], "__n").drop(group, *held)
 
 
 def peer_percentiles(

@@ -110,3 +110,13 @@ def test_all_tied_or_zero_is_no_outlier(spark):
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="Opioid_Prscrbr_Rate"):
         peers.add_behavioral_risk_flags(spark.createDataFrame([("T", "S")], "Prscrbr_Type string, Prscrbr_State_Abrvtn string"))
+
+
+def test_missing_and_huge_measures_rank_alike_by_both_methods(spark):
+    rows = [(i, "a" if i % 3 else None, None if i % 4 == 0 else i % 7, 2**53 + i % 3) for i in range(200)] + [(900, "z", None, None)]
+    df = spark.createDataFrame(rows, "id long, g string, x int, y long")
+    measures = {"px": "x", "py": "y"}
+    window = {r.id: (r.px, r.py) for r in peers.window_percent_ranks(df, measures, ["g"]).collect()}
+    counted = peers.counted_percent_ranks(df, measures, ["g"])
+    assert {r.id: (r.px, r.py) for r in counted.collect()} == window and counted.columns == [*df.columns, "px", "py"]
+    assert window[0][0] == 0.0 and all(value is not None for pair in window.values() for value in pair)
