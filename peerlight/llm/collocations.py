@@ -23,14 +23,21 @@ CHUNK_BYTES = 2 << 20
 CHUNK_WORDS = 1 << 20
 # Phrases of one broadcast trie (some 20 bytes each); more candidates are counted in further passes.
 TRIE_PHRASES = 1 << 20
+# Frequent words whose numbers are broadcast (some 30 bytes each); more are joined by a shuffle.
+BROADCAST_WORDS = 1 << 20
 # First-fit looks at so many free slots of the trie at a time.
 _WINDOW = 512
 
 
+def _code_type(words: int) -> str:
+    """How the codes of a chunk with so many words are stored."""
+    return "<i2" if words <= 1 << 15 else "<i4"
+
+
 def coded_chunks(docs: DataFrame) -> DataFrame:
     """(chunk, lang, words, counts, codes): the corpus as numbers of words, with each chunk's own word list.
 
-    `codes` are little-endian 32-bit integers, -1 between pieces and texts.
+    `codes` are little-endian integers of 16 bits, or of 32 for longer word lists; -1 between pieces and texts.
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +62,7 @@ def coded_chunks(docs: DataFrame) -> DataFrame:
                         if stop >= 0:
                             counts[stop] = 0
                         kinds = np.flatnonzero(counts)
-                        place = np.full(len(words), -1, "<i4")
+                        place = np.full(len(words), -1, _code_type(len(kinds)))
                         place[kinds] = np.arange(len(kinds))
                         yield pa.record_batch(
                             {
@@ -87,23 +94,46 @@ def _numbered(rows: DataFrame) -> DataFrame:
     )
 
 
-def numbered_corpus(chunks: DataFrame, words: DataFrame) -> DataFrame:
+def numbered_corpus(chunks: DataFrame, words: DataFrame, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """(ids): each chunk as numbers of the given words, -1 for all others and between pieces.
 
-    Word lists of chunks are joined with the vocabulary by a shuffle; no vocabulary is broadcast.
+    Up to `broadcast_words` words, counted first, are broadcast, and no chunk is moved. More are joined with the
+    chunks' word lists by a shuffle. Both ways give the same rows.
     """
 
+    def renumbered(codes: bytes, ids: np.ndarray) -> pa.RecordBatch:
+        # `ids` has one number per word of the chunk; the added last one is found by the code -1.
+        coded = np.frombuffer(codes, _code_type(len(ids)))
+        return pa.record_batch({"ids": pa.array([np.append(ids, np.int32(-1)).astype("<i4")[coded].tobytes()], pa.binary())})
+
+    if words.count() <= broadcast_words:
+        sent = chunks.sparkSession.sparkContext.broadcast(words.select("lang", "word", "id").toArrow())
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[str, pa.Table] = {}
+            for batch in batches:
+                for lang, own, codes in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("codes")):
+                    if lang not in known:
+                        known[lang] = sent.value.filter(pc.equal(sent.value.column("lang"), lang)).combine_chunks()
+                    places = pc.index_in(own.values, value_set=known[lang].column("word"))
+                    ids = pc.fill_null(known[lang].column("id").take(places), -1)
+                    yield renumbered(codes.as_py(), ids.to_numpy())
+
+        numbered = materialize(chunks.select("lang", "words", "codes").mapInArrow(releasing(look_up), "ids binary"))
+        sent.destroy()
+        return numbered
+
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for codes, known in zip(batch.column("codes").to_pylist(), batch.column("known")):
-                codes = np.frombuffer(codes, "<i4")
-                ids = np.full(int(codes.max(initial=-1)) + 2, -1, "<i4")
+            for count, codes, known in zip(batch.column("count").to_pylist(), batch.column("codes"), batch.column("known")):
+                ids = np.full(count, -1, np.int32)
                 ids[known.values.field("pos").to_numpy()] = known.values.field("id").to_numpy()
-                yield pa.record_batch({"ids": pa.array([ids[codes].tobytes()], pa.binary())})
+                yield renumbered(codes.as_py(), ids)
 
     listed = chunks.select("chunk", "lang", F.posexplode("words").alias("pos", "word"))
     known = listed.join(words, ["lang", "word"]).groupBy("chunk").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
-    return chunks.select("chunk", "codes").join(known, "chunk").select("codes", "known").mapInArrow(releasing(number), "ids binary")
+    coded = chunks.select("chunk", "codes", F.size("words").alias("count")).join(known, "chunk")
+    return materialize(coded.select("codes", "count", "known").mapInArrow(releasing(number), "ids binary"))
 
 
 class DoubleArrayTrie:
@@ -301,6 +331,7 @@ def mine_collocations(
     top: int = 2000,
     subsumed: int = 100,
     trie_phrases: int = TRIE_PHRASES,
+    broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the phrases of each language that cohere most.
 
@@ -313,6 +344,7 @@ def mine_collocations(
     Level by level: pairs of frequent words are counted by key, since their Apriori candidates would be the
     square of the vocabulary. Longer candidates are phrases that occur and both of whose shorter parts are frequent;
     they are counted by double-array tries of at most `trie_phrases` phrases, broadcast one after the other.
+    Numbers of at most `broadcast_words` frequent words are broadcast, those of more are joined.
     NULL texts are empty, a NULL lang is `und`; doc_id plays no part, and repeated rows count each time.
     """
     chunks = materialize(coded_chunks(docs))
@@ -322,7 +354,7 @@ def mine_collocations(
     )
     totals = word_counts.groupBy("lang").agg(F.sum("f").alias("n"))
     words = _numbered(materialize(word_counts.filter(F.col("f") >= min_count)))
-    corpus = materialize(numbered_corpus(chunks, words.select("lang", "word", "id")))
+    corpus = numbered_corpus(chunks, words.select("lang", "word", "id"), broadcast_words)
     often = F.col("f") >= min_count
     levels = [words.select(F.array("id").alias("ids"), "f")]
     if longest > 1:

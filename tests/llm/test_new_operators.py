@@ -103,8 +103,8 @@ def collocations(rows, least, top, longest=5, subsumed=100):
     return sorted(found)
 
 
-@pytest.mark.parametrize("least, top, trie, subsumed", [(5, 2000, 1 << 20, 100), (4, 7, 40, 100), (6, 2000, 100, 60)])
-def test_collocations_by_brute_force(spark, least, top, trie, subsumed):
+@pytest.mark.parametrize("least, top, trie, subsumed, sent", [(5, 2000, 1 << 20, 100, 1 << 20), (4, 7, 40, 100, 0), (6, 2000, 100, 60, 1 << 20)])
+def test_collocations_by_brute_force(spark, least, top, trie, subsumed, sent):
     rnd = random.Random(11)
     vocabulary = ["the", "The", "of", "é", "New", "york", "san x", "\x1c", "x-y", "a\x00b"]
     rows = []
@@ -113,7 +113,7 @@ def test_collocations_by_brute_force(spark, least, top, trie, subsumed):
         rows.append((text + "new york of the " * (i % 3), ("en", "de", None, "und")[i % 4]))
     rows += [(None, "en"), ("", None), ("...", "fr")] + [("q w e r t y", "xx")] * 9
     docs = spark.createDataFrame([(i % 50, t, l, None, 1, "z") for i, (t, l) in enumerate(rows)], DOCS).repartition(4)
-    got = mine_collocations(docs, min_count=least, top=top, trie_phrases=trie, subsumed=subsumed)
+    got = mine_collocations(docs, min_count=least, top=top, trie_phrases=trie, subsumed=subsumed, broadcast_words=sent)
     assert sorted(map(tuple, got.collect())) == collocations(rows, least, top, subsumed=subsumed)
 
 
