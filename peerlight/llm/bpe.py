@@ -19,11 +19,13 @@ from peerlight.llm.common import release_memory, slices
 LONG_WORD = 512
 # Words whose ids a worker remembers besides those of the slice at hand: when the younger half is full, words not
 # met since the last time are forgotten, so memory stays bounded and common words are never learned again.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Bytes of texts encoded in one step.
 SLICE = 4 << 20
-# Words one recursive query contracts at a time, and the memory its database may hold.
-WORDS_PER_QUERY = 20_000
+# Words one recursive query contracts at a time, the squares of their lengths added up (the recursion keeps every
+# round, so a word of L bytes takes up to L * L / 2 rows), and the memory its database may hold.
+WORDS_PER_QUERY = 10_000
+SQUARES_PER_QUERY = 1 << 21
 DATABASE_MEMORY = "150MB"
 
 # A match of the pattern starts at every blank unless two or more white-space characters stand before it, so
@@ -89,6 +91,10 @@ class Codec:
         self.db.register("merge_rows", table)
         self.db.register("vocab_rows", vocab)
         self.db.execute("CREATE TABLE merges AS FROM merge_rows; CREATE TABLE vocab AS FROM vocab_rows")
+        self.db.unregister("merge_rows")
+        self.db.unregister("vocab_rows")
+        del merges, table, vocab
+        release_memory()
 
     def _contract(self, words: list[bytes]) -> Iterator[bytes]:
         lengths = np.array([len(w) for w in words])
@@ -145,9 +151,15 @@ class Codec:
                 self.known[w] = self._long(raw)
             else:
                 todo.append(w)
-        for i in range(0, len(todo), WORDS_PER_QUERY):
-            part = todo[i : i + WORDS_PER_QUERY]
+        todo.sort(key=len)
+        squares = np.cumsum([len(w.encode()) ** 2 for w in todo])
+        low = 0
+        while low < len(todo):
+            room = SQUARES_PER_QUERY + (squares[low - 1] if low else 0)
+            high = min(low + WORDS_PER_QUERY, max(low + 1, int(np.searchsorted(squares, room, "right"))))
+            part = todo[low:high]
             self.known.update(zip(part, self._contract([w.encode() for w in part])))
+            low = high
 
     def _recall(self, word: str) -> bytes | None:
         """Ids of a word met not too long ago, which make it young again."""
@@ -272,7 +284,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -
                 out = {"doc_id": batch.column("doc_id"), "ids": ids}
                 yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
                 del ids, out
-            pa.default_memory_pool().release_unused()
+            release_memory()
         del own
         codec.cache_clear()
         release_memory()
