@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import count
 
@@ -36,10 +36,12 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
-# A host with more pages than this is dealt out in shares of about this size, by a hash of path and page.
+# Pages of a host that one task compares, about: larger hosts are cut along the order of their paths. A hash of the page
+# says where a cut may fall, so nothing has to be sorted to find them; one in EVERY of these becomes a cut, for even pieces.
 HOST_PAGES = 500
-# Hosts of more pages are broadcast with their number of shares up to so many (some 100 bytes each), else joined.
-BROADCAST_HOSTS = 100_000
+EVERY = 4
+# Cuts known to every task (some 100 bytes each): more pages than HOST_PAGES times this make larger pieces, not more.
+CUTS = 50_000
 
 
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
@@ -194,6 +196,45 @@ def _nearness(a: str, b: str) -> tuple[int, int]:
     return common, -abs(len(a) - len(b))
 
 
+def _place(path: str, page_id: int | None) -> tuple[str, bool, int]:
+    """Where a page stands among those of its host; pages of equal place stand in the order of their lines."""
+    return path, page_id is None, page_id or 0
+
+
+def _cuts(places: DataFrame, host_pages: int) -> tuple[dict[str, list[tuple]], dict[str, dict[int, tuple]]]:
+    """Per host of more than `host_pages` pages, the first place of every piece but piece 0, and the last place of each piece.
+
+    `places` holds the host, path and page_id of all pages. Only cuts come to the driver.
+    """
+    crowded = materialize(places.groupBy("host").count().filter((F.col("count") > host_pages) & (F.col("host") != "")))
+    pages = crowded.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
+    step = F.greatest(F.lit(host_pages), F.ceil(pages / CUTS))
+    # Hosts smaller than a piece stay whole.
+    large = crowded.filter(F.col("count") > step).select("host")
+    step = F.greatest(F.floor(step / EVERY), F.lit(1))
+    inside = places.join(large, "host", "left_semi")
+    chosen = F.pmod(F.xxhash64("host", "path", "page_id"), step) == 0
+    firsts: dict[str, list[tuple]] = {}
+    for row in inside.filter(chosen).distinct().toLocalIterator():
+        firsts.setdefault(row["host"], []).append(_place(row["path"], row["page_id"]))
+    firsts = {host: cuts for host, found in firsts.items() if (cuts := sorted(found)[EVERY - 1 :: EVERY])}
+    if not firsts:
+        return {}, {}
+
+    def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pydict()
+            number = [bisect_right(firsts.get(h, ()), _place(p, i)) for h, p, i in zip(*(rows[c] for c in ("host", "path", "page_id")))]
+            yield batch.append_column("piece", pa.array(number, pa.int32()))
+
+    numbered = inside.mapInArrow(piece, "host string, path string, page_id long, piece int")
+    last = F.max(F.struct("path", F.col("page_id").isNull().alias("unknown"), F.coalesce("page_id", F.lit(0)).alias("id")))
+    lasts: dict[str, dict[int, tuple]] = {}
+    for row in numbered.groupBy("host", "piece").agg(last.alias("last")).toLocalIterator():
+        lasts.setdefault(row["host"], {})[row["piece"]] = tuple(row["last"])
+    return firsts, lasts
+
+
 def extract_main_text(pages: DataFrame, host_pages: int = HOST_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars): the article of every page, its blocks joined by blank lines.
 
@@ -201,54 +242,69 @@ def extract_main_text(pages: DataFrame, host_pages: int = HOST_PAGES) -> DataFra
     or with the other one where that is a copy, and loses the lines both share (longest common subsequence).
     Menus, notices and the like that HTML names (by element, class, id or role) go in any case, and so does
     what lies outside an `article` or `main` element on pages that have one. Only extracted lines are
-    shuffled, once. A host with more than `host_pages` pages is dealt into shares by a hash, each compared
-    within itself, so no host ends up in one task; hosts are counted over all pages.
+    shuffled, once. A host with more than `host_pages` pages is cut into pieces along that order, so no host ends up in
+    one task; the pages at the ends of a piece are also sent to the piece beside it, so that every page meets the
+    neighbours it has in its whole host. `host_pages` steers placement only: results do not depend on it.
 
     Every row comes back, repeated ones too. NULL or empty html and pages of nothing but furniture have an
     empty text. Pages without a URL or host have no neighbours. Other columns are ignored.
     """
     host, path = url_parts(F.col("url"))
     known = F.coalesce(host, F.lit("")) != ""
-    crowded = materialize(
-        pages.select(host.alias("host"))
-        .groupBy("host")
-        .count()
-        .filter((F.col("count") > host_pages) & (F.col("host") != ""))
-        .select("host", F.ceil(F.col("count") / host_pages).alias("shares"))
-    )
-    if crowded.count() <= BROADCAST_HOSTS:
-        crowded = F.broadcast(crowded)
+    place = [
+        F.when(known, host).otherwise("").alias("host"),
+        F.coalesce(path, F.lit("")).alias("path"),
+        F.col("page_id").cast("long").alias("page_id"),
+    ]
+    firsts, lasts = _cuts(pages.select(*place), host_pages)
+
+    def pieces(host: str, path: str, page_id: int | None) -> list[int]:
+        """The page's own piece, and the pieces that it stands beside."""
+        cuts = firsts.get(host)
+        if not cuts:
+            return [0]
+        at = _place(path, page_id)
+        own = bisect_right(cuts, at)
+        before = [own - 1] if own and cuts[own - 1] == at else []
+        after = [own + 1] if own < len(cuts) and lasts[host][own] == at else []
+        return [own, *before, *after]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "html"):
                 found = [text_lines(text or "") for text in batch.column("html").to_pylist()]
-                lines = pa.array([x[0] for x in found], pa.list_(pa.string()))
-                inside = pa.array([x[1] for x in found], pa.list_(pa.bool_()))
+                places = [pieces(*p) for p in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "page_id")))]
                 kept = {c: batch.column(c) for c in ("page_id", "url", "host", "path")}
-                yield pa.record_batch(kept | {"lines": lines, "inside": inside})
+                kept["lines"] = pa.array([x[0] for x in found], pa.list_(pa.string()))
+                kept["inside"] = pa.array([x[1] for x in found], pa.list_(pa.bool_()))
+                rows = pa.array([i for i, p in enumerate(places) for _ in p], pa.int32())
+                spread = pa.record_batch(kept).take(rows)
+                spread = spread.append_column("piece", pa.array([x for p in places for x in p], pa.int32()))
+                yield spread.append_column("beside", pa.array([n > 0 for p in places for n in range(len(p))], pa.bool_()))
 
     def compare(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: (r["path"], r["page_id"] is None, r["page_id"] or 0, r["lines"]))
-        texts = []
+        rows = sorted(table.to_pylist(), key=lambda r: (*_place(r["path"], r["page_id"]), r["lines"]))
+        own, texts = [], []
         for i, row in enumerate(rows):
+            if row["beside"]:
+                continue
             near = [rows[j] for j in (i - 1, i + 1) if row["host"] and 0 <= j < len(rows)]
             near.sort(key=lambda r: _nearness(row["path"], r["path"]), reverse=True)
             texts.append("\n\n".join(_own_lines(row["lines"], row["inside"], [r["lines"] for r in near])))
+            own.append(row)
         return pa.table(
             {
-                "page_id": pa.array([r["page_id"] for r in rows], pa.int64()),
-                "url": pa.array([r["url"] for r in rows], pa.string()),
+                "page_id": pa.array([r["page_id"] for r in own], pa.int64()),
+                "url": pa.array([r["url"] for r in own], pa.string()),
                 "text": pa.array(texts, pa.string()),
             }
         )
 
-    ids = F.col("page_id").cast("long").alias("page_id")
-    parsed = pages.select(ids, "url", "html", F.when(known, host).otherwise("").alias("host"), F.coalesce(path, F.lit("")).alias("path")).mapInArrow(
-        parse, "page_id long, url string, host string, path string, lines array<string>, inside array<boolean>"
+    parsed = pages.select(*place, "url", "html").mapInArrow(
+        parse, "page_id long, url string, host string, path string, lines array<string>, inside array<boolean>, piece int, beside boolean"
     )
-    spread = F.xxhash64("path", "page_id")
-    share = F.when(F.col("host") == "", F.pmod(spread, F.lit(1 << 20))).otherwise(F.pmod(spread, F.coalesce("shares", F.lit(1))))
-    dealt = parsed.join(crowded, "host", "left").withColumn("share", share).drop("shares")
-    texts = dealt.groupBy("host", "share").applyInArrow(compare, "page_id long, url string, text string")
+    # Pages of no host are not compared and may go anywhere.
+    group = F.when(F.col("host") == "", F.pmod(F.xxhash64("path", "page_id"), F.lit(1 << 20))).otherwise(F.col("piece"))
+    dealt = parsed.withColumn("piece", group)
+    texts = dealt.groupBy("host", "piece").applyInArrow(compare, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))

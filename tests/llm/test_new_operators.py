@@ -207,3 +207,27 @@ def test_short_phrases_are_refused(spark):
     docs = spark.createDataFrame([(1, "gpl v3")], "doc_id long, text string")
     with pytest.raises(ValueError, match="gpl v3"):
         scan_licenses(docs, phrases={"gpl v3": "gpl"})
+
+
+def test_pieces_of_a_host_change_nothing(spark):
+    rnd = random.Random(8)
+
+    def told(n):
+        # Neighbouring pages share a template that pages further away lack.
+        shared = "".join(f"<p>Section {n // 2} item {k}</p>" for k in range(3))
+        return f"<html><body>{shared}<p>{' '.join(rnd.choices('abcdefgh', k=80))} {n}</p></body></html>"
+
+    rows = [(n, f"http://h.example/{n // 2:03d}/{n % 2}", told(n)) for n in range(120)]
+    rows += [(1000 + n, f"http://other.example/{n // 2}/{n % 2}", told(n)) for n in range(9)]
+    rows += [(1, "http://h.example/000/1", rows[1][2]), (None, "http://h.example/035/0", told(70)), (2000, None, told(1)), (2001, None, told(1))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+
+    def found(host_pages):
+        return sorted((r.page_id is None, r.page_id or 0, r.url or "", r.text) for r in extract_main_text(pages, host_pages).collect())
+
+    whole = found(500)
+    assert len(whole) == len(rows)
+    # The template shared with the neighbour is gone; two pages have no host, one no partner, one lies behind its copy.
+    assert sum("Section" in r[3] for r in whole) == 4
+    for host_pages in (1, 2, 3, 7, 40):
+        assert found(host_pages) == whole
