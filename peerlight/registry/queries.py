@@ -485,7 +485,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return report.stage_row_counts(
-        {"feature_rows": t.featured, "labeled_rows": t.labeled, "cohort_rows": t.cohort}
+        {"feature_rows": t.snapshot, "labeled_rows": t.labeled, "cohort_rows": t.cohort}
     )
 
 
