@@ -72,8 +72,19 @@ def exact_sum(value: Column | str) -> Column:
     number = _col(value).cast("double")
     size = F.abs(number)
     usual, large = size < F.lit(1e15), size < F.lit(1e23)
+    # Most amounts are decimals of at most eight places and six digits before them: where units / 1e8 is the very
+    # double that was read, its decimal is just these units, which are added as two 64-bit numbers.
+    near = F.rint(number * 1e8)
+    short = (size < F.lit(1e6)) & (near / 1e8 == number)
+    units = F.when(short, near.cast("long"))
+    high, low = F.sum(F.shiftright(units, 30)), F.sum(units.bitwiseAND(F.lit((1 << 30) - 1)))
+    whole = high.cast("decimal(17,0)") * F.lit(1 << 30).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    rest = F.sum(F.when(usual & ~short, number.cast("decimal(28,8)"))).cast("decimal(36,8)")
+    nothing = F.lit(0).cast("decimal(36,8)")
+    unit = F.lit("0.00000001").cast("decimal(8,8)")
+    small = F.coalesce((whole.cast("decimal(27,0)") * unit).cast("decimal(36,8)"), nothing) + F.coalesce(rest, nothing)
     parts = [
-        F.sum(F.when(usual, number.cast("decimal(28,8)"))).cast("double"),
+        F.when(whole.isNotNull() | rest.isNotNull(), small.cast("double")),
         F.sum(F.when(~usual & large, number.cast("decimal(28,4)"))).cast("double"),
         F.sum(F.when(~large, number)),
     ]

@@ -20,9 +20,14 @@ def aggregate_payments(df: DataFrame, keys: list[str] | None = None) -> DataFram
     return df.groupBy(*(keys or grain_of(df))).agg(exact_sum("payment_amount").alias("total_payments"))
 
 
-def aggregate_drug_data(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Distinct brands and total claims per provider (and year)."""
-    return df.groupBy(*(keys or grain_of(df))).agg(
+def aggregate_drug_data(df: DataFrame, keys: list[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """Distinct brands and total claims per provider (and year).
+
+    Where a provider has few rows per brand, counting per brand before the shuffles hardly makes rows fewer. `tasks` then
+    brings each provider's (year's) rows together once, in so many tasks, and the aggregates need no further shuffle.
+    """
+    keys = keys or grain_of(df)
+    return (df.repartition(tasks, *keys) if tasks else df).groupBy(*keys).agg(
         F.count_distinct("Brnd_Name").alias("unique_drugs"),
         F.sum("Tot_Clms").alias("total_drug_claims"),
     )

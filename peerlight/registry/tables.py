@@ -27,7 +27,7 @@ from peerlight.operators.clean import (
 from peerlight.operators.features import build_features
 from peerlight.operators.hybrid import combine_hybrid_scores
 from peerlight.operators.labels import add_multi_signal_labels, prediction_cohort
-from peerlight.sources import materialize
+from peerlight.sources import keep_methods_compilable, materialize
 
 # Line items per task of a shuffle, so that a task's memory does not grow with the table.
 TASK_LINES = 500_000
@@ -68,6 +68,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        keep_methods_compilable(spark)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -194,7 +195,7 @@ class Tables:
 
     @cached_property
     def drug_totals(self) -> DataFrame:
-        return aggregate_drug_data(clean_drug_data(self.drug))
+        return aggregate_drug_data(clean_drug_data(self.drug), tasks=self.line_tasks)
 
     @cached_property
     def recipient_totals(self) -> DataFrame:
@@ -203,13 +204,9 @@ class Tables:
     def assemble(self, hot_keys: list[str] | None = None) -> DataFrame:
         """Assembled rows; without `hot_keys` they are looked for, as in the batch run."""
         prescribers = clean_prescribers(self.prescribers)
-        return join_data(
-            materialize(prescribers) if hot_keys is None else prescribers,
-            self.payment_totals,
-            self.drug_totals,
-            self.recipient_totals,
-            hot_keys,
-        )
+        # Totals have one row per customer and year, so a task's few are hashed, which spares sorting all sides by text.
+        totals = [side.hint("shuffle_hash") for side in (self.payment_totals, self.drug_totals, self.recipient_totals)]
+        return join_data(materialize(prescribers) if hot_keys is None else prescribers, *totals, hot_keys)
 
     @cached_property
     def featured(self) -> DataFrame:

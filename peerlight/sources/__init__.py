@@ -24,6 +24,7 @@ from peerlight.sources.loaders import (
 from peerlight.sources.quoted import read_quoted_csv
 from peerlight.sources.schema import validate_any_column, validate_columns
 from peerlight.sources.snapshots import (
+    keep_methods_compilable,
     materialize,
     materialize_counted,
     owned_snapshots,
@@ -38,6 +39,7 @@ from peerlight.sources.snapshots import (
 )
 
 __all__ = [
+    "keep_methods_compilable",
     "add_report_year",
     "column_kinds",
     "has_multi_year_raw_data",
