@@ -204,9 +204,13 @@ class Tables:
     def assemble(self, hot_keys: list[str] | None = None) -> DataFrame:
         """Assembled rows; without `hot_keys` they are looked for, as in the batch run."""
         prescribers = clean_prescribers(self.prescribers)
-        # Totals have one row per customer and year, so a task's few are hashed, which spares sorting all sides by text.
-        totals = [side.hint("shuffle_hash") for side in (self.payment_totals, self.drug_totals, self.recipient_totals)]
-        return join_data(materialize(prescribers) if hot_keys is None else prescribers, *totals, hot_keys)
+        return join_data(
+            materialize(prescribers) if hot_keys is None else prescribers,
+            self.payment_totals,
+            self.drug_totals,
+            self.recipient_totals,
+            hot_keys,
+        )
 
     @cached_property
     def featured(self) -> DataFrame:
