@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,26 +33,26 @@ DATABASE_MEMORY = "150MB"
 _UNEVEN = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 # A row is a token with its follower. Every round joins these pairs with the merge table and contracts each
-# word's leftmost pair of least rank; a word without such a pair leaves the recursion with its tokens.
+# word's leftmost pair of least rank; a word without such a pair leaves the recursion with its tokens. A pick is one
+# number of rank, place and next place, which are below 1024 in words of at most LONG_WORD bytes.
 _ENCODE = """
 WITH RECURSIVE state(step, w, pos, tok, next_pos, next_tok) AS (
   SELECT 0, w, pos, tok, lead(pos) OVER word, lead(tok) OVER word
   FROM start WINDOW word AS (PARTITION BY w ORDER BY pos)
   UNION ALL (
     WITH best AS (
-      SELECT w, min(struct_pack(rank := rank, pos := pos, next_pos := next_pos)) AS pick
+      SELECT w, min((rank::BIGINT << 20) + (pos << 10) + next_pos) AS pick
       FROM state JOIN merges ON lhs = tok AND rhs = next_tok GROUP BY w),
     gone AS (
-      SELECT s.w, pick.rank AS rank, pick.pos AS hit, s.pos AS gone_pos, s.next_pos, s.next_tok
-      FROM best JOIN state s ON s.w = best.w AND s.pos = pick.next_pos)
+      SELECT s.w, (pick >> 20)::INTEGER AS rank, ((pick >> 10) & 1023)::INTEGER AS hit, s.pos AS gone_pos, s.next_pos, s.next_tok
+      FROM best JOIN state s ON s.w = best.w AND s.pos = (pick & 1023)::INTEGER)
     SELECT s.step + 1, s.w, s.pos,
       CASE WHEN s.pos = hit THEN rank ELSE s.tok END,
       CASE WHEN s.pos = hit THEN g.next_pos ELSE s.next_pos END,
       CASE WHEN s.pos = hit THEN g.next_tok WHEN s.next_pos = hit THEN rank ELSE s.next_tok END
     FROM state s JOIN gone g ON s.w = g.w WHERE s.pos <> gone_pos))
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
-GROUP BY w ORDER BY w
+SELECT w, tok FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) USING (w, step)
+ORDER BY w, pos
 """
 
 _DECODE = """
@@ -65,7 +65,7 @@ GROUP BY run ORDER BY run
 class Codec:
     """Ranks of one vocabulary file, its merge table in an in-process database, and words met before."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         import duckdb
         import regex
 
@@ -75,6 +75,7 @@ class Codec:
         self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.blank = np.zeros(max(self.ranks.values()) + 1, bool)
         self.blank[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.fading: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DATABASE_MEMORY, "temp_directory": ""})
@@ -108,10 +109,10 @@ class Codec:
             }
         )
         self.db.register("start", start)
-        ids = self.db.sql(_ENCODE).to_arrow_table().column("ids").combine_chunks()
-        tokens = ids.values.to_numpy().astype("<u4")
-        raw, ends = tokens.tobytes(), (ids.offsets.to_numpy() * 4).tolist()
-        for low, high in zip(ends, ends[1:]):
+        found = self.db.sql(_ENCODE).to_arrow_table()
+        raw = found.column("tok").to_numpy().astype("<u4").tobytes()
+        ends = np.cumsum(np.bincount(found.column("w").to_numpy(), minlength=len(words)) * 4).tolist()
+        for low, high in zip([0, *ends], ends):
             yield raw[low:high]
 
     def _long(self, word: bytes) -> bytes:
@@ -142,7 +143,7 @@ class Codec:
 
     def _learn(self, words: set[str]) -> None:
         """Remember the ids of words; those the vocabulary holds whole need no contraction."""
-        todo: list[str] = []
+        todo: list[tuple[str, bytes]] = []
         for w in words:
             raw = w.encode()
             if (rank := self.ranks.get(raw)) is not None:
@@ -150,39 +151,45 @@ class Codec:
             elif len(raw) > LONG_WORD:
                 self.known[w] = self._long(raw)
             else:
-                todo.append(w)
-        todo.sort(key=len)
-        squares = np.cumsum([len(w.encode()) ** 2 for w in todo])
+                todo.append((w, raw))
+        todo.sort(key=lambda pair: len(pair[1]))
+        squares = np.cumsum([len(raw) ** 2 for _, raw in todo])
         low = 0
         while low < len(todo):
             room = SQUARES_PER_QUERY + (squares[low - 1] if low else 0)
             high = min(low + WORDS_PER_QUERY, max(low + 1, int(np.searchsorted(squares, room, "right"))))
             part = todo[low:high]
-            self.known.update(zip(part, self._contract([w.encode() for w in part])))
+            self.known.update(zip([w for w, _ in part], self._contract([raw for _, raw in part])))
             low = high
 
-    def _recall(self, word: str) -> bytes | None:
-        """Ids of a word met not too long ago, which make it young again."""
-        ids = self.known.get(word)
-        if ids is None and (ids := self.fading.pop(word, None)) is not None:
-            self.known[word] = ids
-        return ids
+    def _remind(self, words: Iterable[str]) -> None:
+        """Words met not too long ago become young again."""
+        for w in words:
+            if (ids := self.fading.pop(w, None)) is not None:
+                self.known[w] = ids
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of texts that begin and end where matches of the pattern do."""
-        if len(self.known) > REMEMBERED // 2:
+        if len(self.known) > self.remembered // 2:
             self.known, self.fading = {}, self.known
-        out = list(map(self.known.get, chunks))
-        for i, c in enumerate(chunks):
-            if out[i] is None:
-                out[i] = self._recall(c)
-        split = {c: self.find(c) for c, ids in zip(chunks, out) if ids is None}
-        words = {w for found in split.values() for w in found}
-        self._learn({w for w in words if w not in self.known and self._recall(w) is None})
         known = self.known
-        for i, c in enumerate(chunks):
-            if out[i] is None:
-                out[i] = b"".join([known[w] for w in split[c]])
+        out = list(map(known.get, chunks))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        if self.fading:
+            self._remind([chunks[i] for i in new])
+            for i in new:
+                out[i] = known.get(chunks[i])
+            new = [i for i in new if out[i] is None]
+        split = [self.find(chunks[i]) for i in new]
+        words = set(chain.from_iterable(split))
+        todo = words - known.keys()
+        if self.fading:
+            self._remind(todo)
+            todo -= known.keys()
+        self._learn(todo)
+        get = known.__getitem__
+        for i, found in zip(new, split):
+            out[i] = get(found[0]) if len(found) == 1 else b"".join(map(get, found))
         for w in words:
             if len(w) > LONG_WORD:
                 del known[w]
@@ -263,21 +270,24 @@ def _joined(pieces: pa.Array, starts: np.ndarray) -> pa.Array:
 
 
 @lru_cache(maxsize=1)
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, remembered: int = REMEMBERED) -> Codec:
     """One codec per worker, kept to the end of its task."""
-    return Codec(path, pattern)
+    return Codec(path, pattern, remembered)
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
+def bpe_encode(
+    docs: DataFrame, path: str, pattern: str, decode: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """(doc_id, ids): ids of every whole text as little-endian unsigned 32-bit integers.
 
     NULL and empty texts have no ids. Rows keep their doc_id, also NULL or repeated ones; other columns
     are ignored. No shuffle: each partition contracts the words it meets for the first time. With `decode`,
-    the same worker also returns the bytes its ids stand for, as `bpe_decode` would.
+    the same worker also returns the bytes its ids stand for, as `bpe_decode` would. A worker remembers the ids of
+    `remembered` words (some 200 bytes each): more spare it contracting rare words again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, remembered)
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 ids = own.encode(batch.column("text"))
