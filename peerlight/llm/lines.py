@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from math import ceil
 
 import pyarrow as pa
 import xxhash
@@ -13,6 +15,8 @@ from peerlight.llm.common import carried, materialize, passed, releasing, slices
 
 BLANKS = b" \t\n\x0b\x0c\r"
 LAST = (1 << 63) - 1
+# Keys of one file of a run (some 40 bytes each), at most; small runs are not spread over all shuffle partitions.
+RUN_KEYS = 100_000
 
 
 def line_key(line: bytes, least: int) -> bytes | None:
@@ -45,31 +49,31 @@ def _line_keys(docs: DataFrame, least: int) -> DataFrame:
 class LevelledRuns:
     """Sorted runs of (key, first document), compacted when a level holds `fanout` of them.
 
-    A run is a written table, range-partitioned and sorted by key, whose keys occur in no other run.
+    A run is a written table, range-partitioned and sorted by key, in files of about `RUN_KEYS` keys. Of its rows, those
+    whose `known` is NULL are the run; their keys occur in no other run. The others only say what a batch met.
     """
 
     def __init__(self, fanout: int = 4):
         self.fanout = fanout
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[tuple[DataFrame, int]]] = []
 
     def all(self) -> DataFrame | None:
-        runs = [run for level in self.levels for run in level]
-        out = runs[0] if runs else None
-        for run in runs[1:]:
-            out = out.unionAll(run)
-        return out
-
-    def add(self, rows: DataFrame, level: int = 0) -> None:
-        run = materialize(rows.select("key", "first").repartitionByRange("key").sortWithinPartitions("key"))
+        runs = [run for level in self.levels for run, _ in level]
+        return reduce(DataFrame.unionAll, runs).filter("known is null").select("key", "first") if runs else None
+
+    def add(self, rows: DataFrame, count: int, level: int = 0) -> DataFrame:
+        """Write a run of at most `count` rows (key, first, known, many) and return it."""
+        dealt = rows.select("key", "first", "known", "many").repartitionByRange("key").coalesce(max(1, ceil(count / RUN_KEYS)))
+        run = materialize(dealt.sortWithinPartitions("key"))
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(run)
+        self.levels[level].append((run, count))
         if len(self.levels[level]) >= self.fanout:
-            merged = self.levels[level][0]
-            for other in self.levels[level][1:]:
-                merged = merged.unionAll(other)
+            merged = reduce(DataFrame.unionAll, [other for other, _ in self.levels[level]]).filter("known is null")
+            total = sum(size for _, size in self.levels[level])
             self.levels[level] = []
-            self.add(merged, level + 1)
+            self.add(merged, total, level + 1)
+        return run
 
 
 def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: int = 4) -> DataFrame:
@@ -77,7 +81,8 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: i
 
     Documents come in `batches` ranges of ascending doc_id, as they would arrive over time. A batch
     is reduced to one row per key (partial sums first, so a line of a third of all documents is no
-    hot task), merge-joined with the runs, and only its unseen keys become a new sorted run.
+    hot task), merge-joined with the runs, and only its unseen keys become a new sorted run. Each batch but the last
+    is written once, as its run.
     """
     keys = _line_keys(docs, least)
     cuts = sorted(
@@ -87,6 +92,7 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: i
     ) if batches > 1 else []
     number = sum((F.when(F.col("doc").cast("double") > c, 1).otherwise(0) for c in cuts), F.lit(0))
     table = materialize(keys.withColumn("batch", number))
+    counts = {r["batch"]: r["count"] for r in table.groupBy("batch").count().collect()}
     runs = LevelledRuns(fanout)
     lost: DataFrame | None = None
     for b in range(len(cuts) + 1):
@@ -100,9 +106,8 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fanout: i
             first = first.join(known, "key", "left")
         else:
             first = first.withColumn("known", F.lit(None).cast("long"))
-        first = materialize(first)
         if b < len(cuts):
-            runs.add(first.filter("known is null"))
+            first = runs.add(first, counts.get(b, 0))
         owners = first.filter("many or known is not null").select("key", F.coalesce("known", "first").alias("first"))
         drops = rows.join(owners, "key").filter("doc <> first").select("doc", "key")
         lost = drops if lost is None else lost.unionAll(drops)
