@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding with DuckDB's recursive SQL inside each partition."""
+"""Byte-level BPE encoding with DuckDB's recursive SQL inside each partition, and decoding from the vocabulary."""
 
 from __future__ import annotations
 
@@ -55,12 +55,6 @@ SELECT w, tok FROM state JOIN (SELECT w, max(step) AS step FROM state GROUP BY w
 ORDER BY w, pos
 """
 
-_DECODE = """
-SELECT run, string_agg(piece, '' ORDER BY pos) AS bytes
-FROM (SELECT run, unnest(ids) AS tok, generate_subscripts(ids, 1) AS pos FROM encoded) JOIN vocab USING (tok)
-GROUP BY run ORDER BY run
-"""
-
 
 class Codec:
     """Ranks of one vocabulary file, its merge table in an in-process database, and words met before."""
@@ -73,8 +67,10 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.find = regex.compile(pattern).findall
         self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.blank = np.zeros(max(self.ranks.values()) + 1, bool)
-        self.blank[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
+        pieces = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            pieces[rank] = token
+        self.pieces = pa.array(pieces, pa.large_binary())
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.fading: dict[str, bytes] = {}
@@ -87,14 +83,10 @@ class Codec:
             and (right := self.ranks.get(token[cut:])) is not None
         ]
         table = pa.table(dict(zip(("lhs", "rhs", "rank"), map(lambda x: pa.array(x, pa.int32()), zip(*merges)))))
-        # One character per byte, since strings aggregate in order and blobs do not.
-        vocab = pa.table({"tok": pa.array(self.ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in self.ranks]})
         self.db.register("merge_rows", table)
-        self.db.register("vocab_rows", vocab)
-        self.db.execute("CREATE TABLE merges AS FROM merge_rows; CREATE TABLE vocab AS FROM vocab_rows")
+        self.db.execute("CREATE TABLE merges AS FROM merge_rows")
         self.db.unregister("merge_rows")
-        self.db.unregister("vocab_rows")
-        del merges, table, vocab
+        del merges, table
         release_memory()
 
     def _contract(self, words: list[bytes]) -> Iterator[bytes]:
@@ -222,33 +214,12 @@ class Codec:
         return out.cast(pa.binary())
 
     def decode(self, ids: pa.Array) -> pa.Array:
-        """Bytes of each id sequence; each distinct run between tokens that begin with a blank is decoded once."""
+        """Bytes of each id sequence: the vocabulary's piece of every id, one after the other."""
         raw = pc.fill_null(ids.cast(pa.large_binary()), b"")
         ends = distinct_offsets(raw) // 4
-        tokens = np.frombuffer(_content(raw), "<u4")
-        head = np.zeros(len(tokens) + 1, bool)
-        head[:-1] = self.blank[tokens]
-        head[ends] = True
-        cuts = np.flatnonzero(head)
-        runs = pa.Array.from_buffers(
-            pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 4).astype(np.int64)), pa.py_buffer(tokens)]
-        ).dictionary_encode()
-        distinct = runs.dictionary
-        lists = pa.LargeListArray.from_arrays(
-            pa.array(distinct_offsets(distinct) // 4), pa.array(np.frombuffer(_content(distinct), "<i4"))
-        )
-        self.db.register("encoded", pa.table({"run": np.arange(len(distinct)), "ids": lists}))
-        found = self.db.sql(_DECODE).to_arrow_table().column("bytes").combine_chunks().cast(pa.large_string())
-        pieces = pa.Array.from_buffers(
-            pa.large_binary(),
-            len(found),
-            [
-                None,
-                pa.py_buffer(np.concatenate([[0], np.cumsum(pc.utf8_length(found).to_numpy(zero_copy_only=False))]).astype(np.int64)),
-                pa.py_buffer(str(_content(found), "utf-8").encode("latin-1")),
-            ],
-        )
-        return _joined(pieces.take(runs.indices), np.searchsorted(cuts, ends)).cast(pa.binary())
+        if not ends[-1]:
+            return pa.array([b""] * len(raw), pa.binary())
+        return _joined(self.pieces.take(pa.array(np.frombuffer(_content(raw), "<u4"))), ends).cast(pa.binary())
 
 
 def _content(array: pa.Array) -> memoryview:

@@ -26,3 +26,16 @@ def test_long_words_are_contracted_in_bounded_queries(monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text or "")
     assert len(sizes) > 5 and all(len(s) <= bpe.WORDS_PER_QUERY for s in sizes)
     assert all(sum(n * n for n in s) <= bpe.SQUARES_PER_QUERY for s in sizes)
+
+
+def test_decode_looks_ids_up(monkeypatch):
+    """Decoding needs no query: every id has its piece in the vocabulary."""
+    path, pattern = vocabulary()
+    codec = bpe.Codec(path, pattern)
+    texts = [None, "", "é 🙂  x\n", " a  b", "zqxj" * 300, "one two　three"]
+    ids = codec.encode(pa.array(texts))
+    monkeypatch.setattr(codec, "db", None)
+    assert codec.decode(ids).to_pylist() == [(t or "").encode() for t in texts]
+    assert codec.decode(ids.slice(2, 2)).to_pylist() == [t.encode() for t in texts[2:4]]
+    assert codec.decode(pa.array([None, b""], pa.binary())).to_pylist() == [b"", b""]
+    assert codec.decode(pa.array([], pa.binary())).to_pylist() == []
