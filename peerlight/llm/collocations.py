@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -25,6 +26,13 @@ CHUNK_WORDS = 1 << 20
 TRIE_PHRASES = 1 << 20
 # Frequent words whose numbers are broadcast (some 30 bytes each); more are joined by a shuffle.
 BROADCAST_WORDS = 1 << 20
+# Pairs a task adds up before it sends them (16 bytes each, some 100 while they are sorted), and words of the corpus
+# for each share of the pairs, which bounds what one group adds up.
+PAIRS_HELD = 1 << 21
+PAIR_WORDS = 1 << 21
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+# Word numbers below this are looked up in a table (8 bytes each), larger ones by binary search.
+TABLE_WORDS = 1 << 22
 # First-fit looks at so many free slots of the trie at a time.
 _WINDOW = 512
 
@@ -141,6 +149,7 @@ class DoubleArrayTrie:
 
     def __init__(self, phrases: np.ndarray):
         count, self.length = phrases.shape
+        self.table: np.ndarray | None = None
         # Common words get small symbols, so that families of children lie close together.
         self.words, found, uses = np.unique(phrases, return_inverse=True, return_counts=True)
         self.symbols = np.empty(len(self.words), np.int64)
@@ -217,11 +226,21 @@ class DoubleArrayTrie:
                 return used, int(bases[0]), int(bases[0])
             at += _WINDOW
 
+    def _symbols_of(self, ids: np.ndarray) -> np.ndarray:
+        """The symbol of each word number, -1 for words of no phrase."""
+        if self.words[-1] >= TABLE_WORDS:
+            known = np.searchsorted(self.words, ids)
+            known[known == len(self.words)] = 0
+            return np.where(self.words[known] == ids, self.symbols[known], -1)
+        if self.table is None:
+            # The last place is found by the number -1; made in each task, so that it is not sent.
+            self.table = np.full(self.words[-1] + 2, -1, np.int64)
+            self.table[self.words] = self.symbols
+        return self.table[np.minimum(ids, len(self.table) - 1)]
+
     def states(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start places at which a phrase stands, and the accepting states: all places advance together."""
-        known = np.searchsorted(self.words, ids)
-        known[known == len(self.words)] = 0
-        symbols = np.where(self.words[known] == ids, self.symbols[known], -1)
+        symbols = self._symbols_of(ids)
         places, states = np.flatnonzero(symbols >= 0), None
         for depth in range(self.length):
             places = places[places + depth < len(ids)]
@@ -244,18 +263,83 @@ def _tries(phrases: DataFrame, trie_phrases: int) -> Iterator[tuple[np.ndarray,
             yield flat, DoubleArrayTrie(flat)
 
 
-def pair_counts(corpus: DataFrame) -> DataFrame:
-    """(ids, f): how often each two words of the numbered corpus follow each other."""
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.add.reduceat(count, first) if len(first) else count
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys as steps, and counts; equal bytes of all numbers lie together, so most are runs of zeros."""
+    rows = np.stack([np.diff(keys, prepend=0), counts]).astype("<i8")
+    return zlib.compress(rows.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(2, 8, -1)
+    steps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+    return np.cumsum(steps), counts
+
+
+def pair_counts(corpus: DataFrame, shares: int, least: int = 1, held: int = PAIRS_HELD) -> DataFrame:
+    """(ids, f): how often each two words of the numbered corpus follow each other, if `least` times at least.
+
+    A task adds up the pairs of its chunks, of which it holds about `held`, deals them into `shares`, and sends each
+    share as one sorted, packed list; a group per share adds up the lists. Shares are dealt by a hash of blocks of 64 first
+    and 16,384 second words: numbers in a list lie close together, and a common first word is spread over many shares.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+
+        def send() -> pa.RecordBatch:
+            key, total = keys.pop(), counts.pop()
+            block = (key >> 38 << 32 | (key & 0xFFFFFFFF) >> 14).astype(np.uint64)
+            share = ((block * _SPREAD) >> np.uint64(32)) % np.uint64(shares)
+            order = np.argsort(share, kind="stable")
+            found, starts = np.unique(share[order], return_index=True)
+            lists = [_packed(key[own], total[own]) for own in np.split(order, starts[1:])]
+            return pa.record_batch({"share": pa.array(found.astype(np.int64)), "pairs": pa.array(lists, pa.binary())})
+
         for batch in batches:
             for ids in map(lambda x: np.frombuffer(x, "<i4").astype(np.int64), batch.column("ids").to_pylist()):
                 both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                keys, counts = np.unique((ids[:-1][both] << 32) | ids[1:][both], return_counts=True)
-                yield pa.record_batch({"a": (keys >> 32).astype(np.int32), "b": (keys & 0xFFFFFFFF).astype(np.int32), "f": counts})
-
-    counted = corpus.mapInArrow(releasing(count), "a int, b int, f long").groupBy("a", "b").agg(F.sum("f").alias("f"))
-    return counted.select(F.array("a", "b").alias("ids"), "f")
+                key, total = np.unique((ids[:-1][both] << 32) | ids[1:][both], return_counts=True)
+                keys.append(key)
+                counts.append(total)
+                if sum(map(len, keys)) > held:
+                    key, total = _summed(keys, counts)
+                    keys[:], counts[:] = [key], [total]
+                    if len(key) > held // 2:
+                        yield send()
+        if keys:
+            key, total = _summed(keys, counts)
+            keys[:], counts[:] = [key], [total]
+            if len(key):
+                yield send()
+
+    def add(table: pa.Table) -> pa.Table:
+        key, total = _summed(*zip(*map(_unpacked, table.column("pairs").to_pylist())))
+        key, total = key[total >= least], total[total >= least]
+        ids = np.stack([key >> 32, key & 0xFFFFFFFF], 1).astype(np.int32)
+        offsets = pa.array(np.arange(len(key) + 1, dtype=np.int32) * 2)
+        return pa.table({"ids": pa.ListArray.from_arrays(offsets, pa.array(ids.ravel())), "f": total})
+
+    lists = corpus.mapInArrow(releasing(count), "share long, pairs binary")
+    return lists.groupBy("share").applyInArrow(add, "ids array<int>, f long")
+
+
+def _distinct_rows(columns: list[np.ndarray]) -> np.ndarray:
+    """Distinct rows of numbers from 0 to 2^31, each step sorting one 64-bit key of a row's place so far and its next number."""
+    key = columns[0].astype(np.int64)
+    for column in columns[1:-1]:
+        key = np.unique(key << 32 | column, return_inverse=True)[1]
+    first = np.unique(key << 32 | columns[-1], return_index=True)[1]
+    return np.stack([column[first] for column in columns], 1)
 
 
 def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int) -> DataFrame:
@@ -287,7 +371,7 @@ def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int)
             for raw, marks in zip(batch.column("ids").to_pylist(), batch.column("marks").to_pylist()):
                 ids, marks = np.frombuffer(raw, "<i4"), np.frombuffer(marks or b"", bool)
                 starts = np.flatnonzero(marks[:-1] & marks[1:])
-                found = np.unique(np.stack([ids[starts + i] for i in range(length + 1)], 1), axis=0) if len(starts) else np.zeros((0, length + 1), np.int32)
+                found = _distinct_rows([ids[starts + i] for i in range(length + 1)])
                 values = pa.array(found.ravel().astype(np.int32))
                 offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (length + 1))
                 yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, values)})
@@ -341,8 +425,8 @@ def mine_collocations(
     all words. Candidates within a longer one that has at least `subsumed` percent of their count are left out.
     The `top` first per language by score, count and phrase (in bytes) are returned.
 
-    Level by level: pairs of frequent words are counted by key, since their Apriori candidates would be the
-    square of the vocabulary. Longer candidates are phrases that occur and both of whose shorter parts are frequent;
+    Level by level: pairs of frequent words are counted by key in packed lists, since their Apriori candidates would be
+    the square of the vocabulary. Longer candidates are phrases that occur and both of whose shorter parts are frequent;
     they are counted by double-array tries of at most `trie_phrases` phrases, broadcast one after the other.
     Numbers of at most `broadcast_words` frequent words are broadcast, those of more are joined.
     NULL texts are empty, a NULL lang is `und`; doc_id plays no part, and repeated rows count each time.
@@ -358,7 +442,8 @@ def mine_collocations(
     often = F.col("f") >= min_count
     levels = [words.select(F.array("id").alias("ids"), "f")]
     if longest > 1:
-        levels.append(materialize(pair_counts(corpus).filter(often)))
+        n_words = totals.agg(F.sum("n")).first()[0] or 0
+        levels.append(materialize(pair_counts(corpus, -(-n_words // PAIR_WORDS) or 1, min_count)))
     for _ in range(3, longest + 1):
         candidates = longer_candidates(corpus, levels[-1], trie_phrases)
         levels.append(materialize(phrase_counts(corpus, candidates, trie_phrases).filter(often)))
