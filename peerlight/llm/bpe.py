@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from peerlight.llm.common import release_memory, slices
+from peerlight.llm.common import bound_batches, release_memory, releasing, slices
 
 # Words longer than this go through a heap by the same rule: the recursion takes as many rounds as a word has merges.
 LONG_WORD = 512
@@ -21,11 +21,11 @@ LONG_WORD = 512
 # met since the last time are forgotten, so memory stays bounded and common words are never learned again.
 REMEMBERED = 200_000
 # Bytes of texts encoded in one step.
-SLICE = 4 << 20
+SLICE = 2 << 20
 # Words one recursive query contracts at a time, the squares of their lengths added up (the recursion keeps every
 # round, so a word of L bytes takes up to L * L / 2 rows), and the memory its database may hold.
-WORDS_PER_QUERY = 10_000
-SQUARES_PER_QUERY = 1 << 21
+WORDS_PER_QUERY = 4_000
+SQUARES_PER_QUERY = 1 << 20
 DATABASE_MEMORY = "150MB"
 
 # A match of the pattern starts at every blank unless two or more white-space characters stand before it, so
@@ -266,11 +266,10 @@ def bpe_encode(
                 yield pa.record_batch(out | {"bytes": own.decode(ids)} if decode else out)
                 del ids, out
             release_memory()
-        del own
         codec.cache_clear()
-        release_memory()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary" + ", bytes binary" * decode)
+    bound_batches(docs.sparkSession)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "doc_id long, ids binary" + ", bytes binary" * decode)
 
 
 def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -282,8 +281,7 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             for batch in slices(whole, "ids", 2 * SLICE):
                 ids = pc.fill_null(batch.column("ids"), b"")
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": ids, "bytes": own.decode(ids)})
-        del own
         codec.cache_clear()
-        release_memory()
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, bytes binary")
+    bound_batches(encoded.sparkSession)
+    return encoded.select("doc_id", "ids").mapInArrow(releasing(run), "doc_id long, ids binary, bytes binary")

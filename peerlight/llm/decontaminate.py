@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import carried, materialize, passed, releasing, slices, with_carried, words_of
+from peerlight.llm.common import bound_batches, carried, materialize, passed, releasing, slices, with_carried, words_of
 
 
 class WuManber:
@@ -94,6 +94,7 @@ def find_contamination(
     hit words but are no item; repeated rows stay. Columns named by `carry` come along as the struct
     `carried`; all others are ignored.
     """
+    bound_batches(docs.sparkSession)
     windows = materialize(benchmark_windows(benchmark, size))
     item_bytes = F.expr("aggregate(transform(items, x -> octet_length(x) + 8), 0L, (a, x) -> a + x)")
     total = windows.agg(F.sum(F.octet_length("words") + F.coalesce(item_bytes, F.lit(0)))).first()[0] or 0
@@ -106,30 +107,20 @@ def find_contamination(
         F.expr("CAST(array() AS array<string>)").alias("items"),
         *carried(carry),
     )
+    counted = with_carried("doc_id long, n_words long, n_hit long, items array<string>", out)
     for part in range(parts):
         rows = windows.filter(F.pmod(F.xxhash64("words"), F.lit(parts)) == part).collect()
         patterns = docs.sparkSession.sparkContext.broadcast([(r["words"].split(), r["items"]) for r in rows])
-        out = out.mapInArrow(_search(patterns), out.schema)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = [covered(list(zip(s[::2], s[1::2]))) for s in batch.column("spans").to_pylist()]
-            items = [sorted(set(x)) for x in batch.column("items").to_pylist()]
-            counts = {
-                "doc_id": batch.column("doc_id"),
-                "n_words": batch.column("n_words"),
-                "n_hit": pa.array(hit, pa.int64()),
-                "items": pa.array(items, pa.list_(pa.string())),
-            }
-            yield passed(batch, counts)
-
-    return out.drop("text").mapInArrow(
-        releasing(count), with_carried("doc_id long, n_words long, n_hit long, items array<string>", out)
-    )
+        last = part == parts - 1
+        out = out.mapInArrow(_search(patterns, last), counted if last else out.schema)
+    return out
+
 
+def _search(patterns, last: bool):
+    """One narrow pass that adds the spans and items of the broadcast windows to each row.
 
-def _search(patterns):
-    """One narrow pass that adds the spans and items of the broadcast windows to each row."""
+    The last one counts them instead: a pass of its own would be one more Python process per task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = searchers(patterns.value)
@@ -149,13 +140,13 @@ def _search(patterns):
                                 spans[i] += (start, start + searcher.length)
                             own.update(ids)
                     items[i].extend(own)
-                out = {
-                    "doc_id": batch.column("doc_id"),
-                    "text": batch.column("text"),
-                    "n_words": pa.array(counts, pa.int64()),
-                    "spans": pa.array(spans, pa.list_(pa.int64())),
-                    "items": pa.array(items, pa.list_(pa.string())),
-                }
+                count = {"n_words": pa.array(counts, pa.int64())}
+                if last:
+                    count["n_hit"] = pa.array([covered(list(zip(s[::2], s[1::2]))) for s in spans], pa.int64())
+                    items = [sorted(set(x)) for x in items]
+                else:
+                    count = {"text": batch.column("text")} | count | {"spans": pa.array(spans, pa.list_(pa.int64()))}
+                out = {"doc_id": batch.column("doc_id")} | count | {"items": pa.array(items, pa.list_(pa.string()))}
                 yield passed(batch, out)
 
     return releasing(run)
