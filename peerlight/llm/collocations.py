@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerlight.llm.common import releasing, slices
+from peerlight.llm.common import bound_batches, releasing, slices
 from peerlight.sources.snapshots import materialize
 
 # Piece ends become full stops, which no word can hold, tabs become blanks, A-Z small letters.
@@ -26,10 +26,10 @@ CHUNK_WORDS = 1 << 20
 TRIE_PHRASES = 1 << 20
 # Frequent words whose numbers are broadcast (some 30 bytes each); more are joined by a shuffle.
 BROADCAST_WORDS = 1 << 20
-# Pairs a task adds up before it sends them (16 bytes each, some 100 while they are sorted), and words of the corpus
-# for each share of the pairs, which bounds what one group adds up.
+# Pairs a task adds up before it sends them (16 bytes each, some 50 while they are dealt), and words of the corpus
+# for each share of the pairs, which bounds what one group adds up (some 100 bytes each while they are sorted).
 PAIRS_HELD = 1 << 21
-PAIR_WORDS = 1 << 21
+PAIR_WORDS = 1 << 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 # Word numbers below this are looked up in a table (8 bytes each), larger ones by binary search.
 TABLE_WORDS = 1 << 22
@@ -272,6 +272,15 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+def _merged(key: np.ndarray, count: np.ndarray, new: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys and their counts, with other such keys and counts added; only the result is as large as both."""
+    at = np.searchsorted(key, new)
+    old = at < len(key)
+    old[old] = key[at[old]] == new[old]
+    count[at[old]] += more[old]
+    return np.insert(key, at[~old], new[~old]), np.insert(count, at[~old], more[~old])
+
+
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Ascending keys as steps, and counts; equal bytes of all numbers lie together, so most are runs of zeros."""
     rows = np.stack([np.diff(keys, prepend=0), counts]).astype("<i8")
@@ -287,40 +296,34 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 def pair_counts(corpus: DataFrame, shares: int, least: int = 1, held: int = PAIRS_HELD) -> DataFrame:
     """(ids, f): how often each two words of the numbered corpus follow each other, if `least` times at least.
 
-    A task adds up the pairs of its chunks, of which it holds about `held`, deals them into `shares`, and sends each
+    A task adds up the pairs of its chunks one chunk after the other, of which it holds about `held`, deals them into `shares`, and sends each
     share as one sorted, packed list; a group per share adds up the lists. Shares are dealt by a hash of blocks of 64 first
     and 16,384 second words: numbers in a list lie close together, and a common first word is spread over many shares.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-
         def send() -> pa.RecordBatch:
-            key, total = keys.pop(), counts.pop()
             block = (key >> 38 << 32 | (key & 0xFFFFFFFF) >> 14).astype(np.uint64)
-            share = ((block * _SPREAD) >> np.uint64(32)) % np.uint64(shares)
-            order = np.argsort(share, kind="stable")
-            found, starts = np.unique(share[order], return_index=True)
-            lists = [_packed(key[own], total[own]) for own in np.split(order, starts[1:])]
+            block *= _SPREAD
+            block >>= np.uint64(32)
+            block %= np.uint64(shares)
+            order = np.argsort(block, kind="stable")
+            found, sizes = np.unique(block, return_counts=True)
+            lists = [_packed(key[own], total[own]) for own in np.split(order, np.cumsum(sizes)[:-1])]
             return pa.record_batch({"share": pa.array(found.astype(np.int64)), "pairs": pa.array(lists, pa.binary())})
 
+        key = total = np.zeros(0, np.int64)
+
         for batch in batches:
-            for ids in map(lambda x: np.frombuffer(x, "<i4").astype(np.int64), batch.column("ids").to_pylist()):
+            for ids in map(lambda x: np.frombuffer(x, "<i4"), batch.column("ids").to_pylist()):
                 both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                key, total = np.unique((ids[:-1][both] << 32) | ids[1:][both], return_counts=True)
-                keys.append(key)
-                counts.append(total)
-                if sum(map(len, keys)) > held:
-                    key, total = _summed(keys, counts)
-                    keys[:], counts[:] = [key], [total]
-                    if len(key) > held // 2:
-                        yield send()
-        if keys:
-            key, total = _summed(keys, counts)
-            keys[:], counts[:] = [key], [total]
-            if len(key):
-                yield send()
+                pairs = ids[:-1][both].astype(np.int64) << 32 | ids[1:][both]
+                key, total = _merged(key, total, *np.unique(pairs, return_counts=True))
+                if len(key) > held:
+                    yield send()
+                    key = total = np.zeros(0, np.int64)
+        if len(key):
+            yield send()
 
     def add(table: pa.Table) -> pa.Table:
         key, total = _summed(*zip(*map(_unpacked, table.column("pairs").to_pylist())))
@@ -345,38 +348,28 @@ def _distinct_rows(columns: list[np.ndarray]) -> np.ndarray:
 def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int) -> DataFrame:
     """(ids): phrases one word longer that occur and whose first and last words, less one, are frequent phrases.
 
-    With several tries, a phrase's two parts may be in different ones, so each trie's own places are
-    kept beside the corpus as marks before places are compared.
+    With several tries, a phrase's two parts may be in different ones, so the places of all tries are marked before
+    they are compared; one process per task does both.
     """
     spark = corpus.sparkSession
-    marked = corpus.withColumn("marks", F.lit(None).cast("binary"))
     length, all_sent = 0, []
     for flat, trie in _tries(frequent, trie_phrases):
         length = flat.shape[1]
-        sent = spark.sparkContext.broadcast(trie)
-        all_sent.append(sent)
-
-        def mark(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for raw, old in zip(batch.column("ids").to_pylist(), batch.column("marks").to_pylist()):
-                    ids = np.frombuffer(raw, "<i4")
-                    marks = np.zeros(len(ids), bool) if old is None else np.frombuffer(old, bool).copy()
-                    marks[sent.value.states(ids)[0]] = True
-                    yield pa.record_batch({"ids": pa.array([raw], pa.binary()), "marks": pa.array([marks.tobytes()], pa.binary())})
-
-        marked = marked.mapInArrow(releasing(mark), "ids binary, marks binary")
+        all_sent.append(spark.sparkContext.broadcast(trie))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for raw, marks in zip(batch.column("ids").to_pylist(), batch.column("marks").to_pylist()):
-                ids, marks = np.frombuffer(raw, "<i4"), np.frombuffer(marks or b"", bool)
+            for ids in map(lambda x: np.frombuffer(x, "<i4"), batch.column("ids").to_pylist()):
+                marks = np.zeros(len(ids), bool)
+                for sent in all_sent:
+                    marks[sent.value.states(ids)[0]] = True
                 starts = np.flatnonzero(marks[:-1] & marks[1:])
                 found = _distinct_rows([ids[starts + i] for i in range(length + 1)])
                 values = pa.array(found.ravel().astype(np.int32))
                 offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (length + 1))
                 yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, values)})
 
-    found = materialize(marked.mapInArrow(releasing(candidates), "ids array<int>").distinct())
+    found = materialize(corpus.mapInArrow(releasing(candidates), "ids array<int>").distinct())
     for sent in all_sent:
         sent.destroy()
     return found
@@ -431,6 +424,7 @@ def mine_collocations(
     Numbers of at most `broadcast_words` frequent words are broadcast, those of more are joined.
     NULL texts are empty, a NULL lang is `und`; doc_id plays no part, and repeated rows count each time.
     """
+    bound_batches(docs.sparkSession)
     chunks = materialize(coded_chunks(docs))
     pairs = F.explode(F.arrays_zip("words", "counts")).alias("w")
     word_counts = materialize(
