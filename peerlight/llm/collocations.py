@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -31,6 +31,8 @@ BROADCAST_WORDS = 1 << 20
 PAIRS_HELD = 1 << 21
 PAIR_WORDS = 1 << 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+# Phrases of a trie whose counts one group adds up.
+SHARE_PHRASES = 1 << 14
 # Word numbers below this are looked up in a table (8 bytes each), larger ones by binary search.
 TABLE_WORDS = 1 << 22
 # First-fit looks at so many free slots of the trie at a time.
@@ -120,12 +122,17 @@ def numbered_corpus(chunks: DataFrame, words: DataFrame, broadcast_words: int =
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[str, pa.Table] = {}
             for batch in batches:
-                for lang, own, codes in zip(batch.column("lang").to_pylist(), batch.column("words"), batch.column("codes")):
+                # All chunks of a language at once, since each lookup first hashes all words sent.
+                langs = batch.column("lang").dictionary_encode()
+                for number, lang in enumerate(langs.dictionary.to_pylist()):
+                    own = batch.filter(pc.equal(langs.indices, number))
                     if lang not in known:
                         known[lang] = sent.value.filter(pc.equal(sent.value.column("lang"), lang)).combine_chunks()
-                    places = pc.index_in(own.values, value_set=known[lang].column("word"))
-                    ids = pc.fill_null(known[lang].column("id").take(places), -1)
-                    yield renumbered(codes.as_py(), ids.to_numpy())
+                    places = pc.index_in(own.column("words").flatten(), value_set=known[lang].column("word"))
+                    ids = pc.fill_null(known[lang].column("id").take(places), -1).to_numpy()
+                    ends = np.cumsum(pc.list_value_length(own.column("words")).to_numpy())
+                    for codes, some in zip(own.column("codes"), np.split(ids, ends[:-1])):
+                        yield renumbered(codes.as_py(), some)
 
         numbered = materialize(chunks.select("lang", "words", "codes").mapInArrow(releasing(look_up), "ids binary"))
         sent.destroy()
@@ -260,6 +267,8 @@ def _tries(phrases: DataFrame, trie_phrases: int) -> Iterator[tuple[np.ndarray,
         rows = phrases.filter(F.pmod(F.xxhash64("ids"), F.lit(shares)) == share).select("ids").toArrow().column("ids").combine_chunks()
         if len(rows):
             flat = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+            # In ascending order, so that the numbers of phrases with the same first words lie close together.
+            flat = _distinct_rows(list(flat.T))
             yield flat, DoubleArrayTrie(flat)
 
 
@@ -293,12 +302,27 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps), counts
 
 
-def pair_counts(corpus: DataFrame, shares: int, least: int = 1, held: int = PAIRS_HELD) -> DataFrame:
-    """(ids, f): how often each two words of the numbered corpus follow each other, if `least` times at least.
+def _phrase_table(rows: np.ndarray, counts: np.ndarray) -> pa.Table:
+    """(ids, f) of rows of word numbers."""
+    offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1])
+    return pa.table({"ids": pa.ListArray.from_arrays(offsets, pa.array(rows.ravel().astype(np.int32))), "f": counts})
+
+
+def _key_counts(
+    corpus: DataFrame,
+    keys: Callable[[np.ndarray], np.ndarray],
+    phrases: Callable[[np.ndarray], np.ndarray],
+    shares: int,
+    least: int,
+    held: int,
+) -> DataFrame:
+    """(ids, f): how often each key that `keys` makes of a row of the numbered corpus occurs, if `least` times at least.
+
+    A key has 31 bits above and 31 below bit 32, and `phrases` makes rows of word numbers of keys.
 
-    A task adds up the pairs of its chunks one chunk after the other, of which it holds about `held`, deals them into `shares`, and sends each
-    share as one sorted, packed list; a group per share adds up the lists. Shares are dealt by a hash of blocks of 64 first
-    and 16,384 second words: numbers in a list lie close together, and a common first word is spread over many shares.
+    A task adds up the keys of a few chunks at a time, of which it holds about `held`, deals them into `shares`, and sends each
+    share as one sorted, packed list; a group per share adds up the lists. Shares are dealt by a hash of blocks of 64 upper
+    and 16,384 lower halves: numbers in a list lie close together, and a common upper half is spread over many shares.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,32 +334,44 @@ def pair_counts(corpus: DataFrame, shares: int, least: int = 1, held: int = PAIR
             order = np.argsort(block, kind="stable")
             found, sizes = np.unique(block, return_counts=True)
             lists = [_packed(key[own], total[own]) for own in np.split(order, np.cumsum(sizes)[:-1])]
-            return pa.record_batch({"share": pa.array(found.astype(np.int64)), "pairs": pa.array(lists, pa.binary())})
+            return pa.record_batch({"share": pa.array(found.astype(np.int64)), "packed": pa.array(lists, pa.binary())})
 
         key = total = np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         for batch in batches:
             for ids in map(lambda x: np.frombuffer(x, "<i4"), batch.column("ids").to_pylist()):
-                both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                pairs = ids[:-1][both].astype(np.int64) << 32 | ids[1:][both]
-                key, total = _merged(key, total, *np.unique(pairs, return_counts=True))
+                waiting.append(np.unique(keys(ids), return_counts=True))
+                if sum(len(some) for some, _ in waiting) > held // 8:
+                    key, total = _merged(key, total, *_summed(*zip(*waiting)))
+                    waiting = []
                 if len(key) > held:
                     yield send()
                     key = total = np.zeros(0, np.int64)
+        if waiting:
+            key, total = _merged(key, total, *_summed(*zip(*waiting)))
         if len(key):
             yield send()
 
     def add(table: pa.Table) -> pa.Table:
-        key, total = _summed(*zip(*map(_unpacked, table.column("pairs").to_pylist())))
+        key, total = _summed(*zip(*map(_unpacked, table.column("packed").to_pylist())))
         key, total = key[total >= least], total[total >= least]
-        ids = np.stack([key >> 32, key & 0xFFFFFFFF], 1).astype(np.int32)
-        offsets = pa.array(np.arange(len(key) + 1, dtype=np.int32) * 2)
-        return pa.table({"ids": pa.ListArray.from_arrays(offsets, pa.array(ids.ravel())), "f": total})
+        return _phrase_table(phrases(key), total)
 
-    lists = corpus.mapInArrow(releasing(count), "share long, pairs binary")
+    lists = corpus.mapInArrow(releasing(count), "share long, packed binary")
     return lists.groupBy("share").applyInArrow(add, "ids array<int>, f long")
 
 
+def pair_counts(corpus: DataFrame, shares: int, least: int = 1, held: int = PAIRS_HELD) -> DataFrame:
+    """(ids, f): how often each two words of the numbered corpus follow each other, if `least` times at least."""
+
+    def pairs(ids: np.ndarray) -> np.ndarray:
+        both = (ids[:-1] >= 0) & (ids[1:] >= 0)
+        return ids[:-1][both].astype(np.int64) << 32 | ids[1:][both]
+
+    return _key_counts(corpus, pairs, lambda key: np.stack([key >> 32, key & 0xFFFFFFFF], 1), shares, least, held)
+
+
 def _distinct_rows(columns: list[np.ndarray]) -> np.ndarray:
     """Distinct rows of numbers from 0 to 2^31, each step sorting one 64-bit key of a row's place so far and its next number."""
     key = columns[0].astype(np.int64)
@@ -345,60 +381,84 @@ def _distinct_rows(columns: list[np.ndarray]) -> np.ndarray:
     return np.stack([column[first] for column in columns], 1)
 
 
-def longer_candidates(corpus: DataFrame, frequent: DataFrame, trie_phrases: int) -> DataFrame:
-    """(ids): phrases one word longer that occur and whose first and last words, less one, are frequent phrases.
+def longer_candidates(
+    corpus: DataFrame, frequent: DataFrame, trie_phrases: int, least: int = 1, shares: int = 1, held: int = PAIRS_HELD
+) -> DataFrame:
+    """(ids): phrases one word longer that occur `least` times at least and whose first and last words, less one, are frequent phrases.
 
+    Most phrases that occur are rare, and their number grows with the corpus; so they are added up by key before any is a
+    candidate, in lists like those of pairs. The key of a phrase is the number of the frequent phrase it begins with and its last word.
     With several tries, a phrase's two parts may be in different ones, so the places of all tries are marked before
     they are compared; one process per task does both.
     """
     spark = corpus.sparkSession
-    length, all_sent = 0, []
+    all_sent, known, first = [], [], 0
     for flat, trie in _tries(frequent, trie_phrases):
-        length = flat.shape[1]
-        all_sent.append(spark.sparkContext.broadcast(trie))
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids in map(lambda x: np.frombuffer(x, "<i4"), batch.column("ids").to_pylist()):
-                marks = np.zeros(len(ids), bool)
-                for sent in all_sent:
-                    marks[sent.value.states(ids)[0]] = True
-                starts = np.flatnonzero(marks[:-1] & marks[1:])
-                found = _distinct_rows([ids[starts + i] for i in range(length + 1)])
-                values = pa.array(found.ravel().astype(np.int32))
-                offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (length + 1))
-                yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, values)})
-
-    found = materialize(corpus.mapInArrow(releasing(candidates), "ids array<int>").distinct())
-    for sent in all_sent:
+        all_sent.append((spark.sparkContext.broadcast(trie), first))
+        known.append(flat)
+        first += len(flat)
+    if not first:
+        return spark.createDataFrame([], "ids array<int>")
+    starts_sent = spark.sparkContext.broadcast(np.concatenate(known))
+
+    def keys(ids: np.ndarray) -> np.ndarray:
+        number = np.full(len(ids), -1, np.int64)
+        for sent, first in all_sent:
+            places, states = sent.value.states(ids)
+            number[places] = sent.value.accepts[states].astype(np.int64) + first
+        starts = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
+        return number[starts] << 32 | ids[starts + sent.value.length]
+
+    def phrases(key: np.ndarray) -> np.ndarray:
+        return np.concatenate([starts_sent.value[key >> 32], (key & 0xFFFFFFFF)[:, None]], 1)
+
+    found = materialize(_key_counts(corpus, keys, phrases, shares, least, held).select("ids"))
+    for sent, _ in all_sent:
         sent.destroy()
+    starts_sent.destroy()
     return found
 
 
+def _counted_by_trie(corpus: DataFrame, flat: np.ndarray, trie: DoubleArrayTrie) -> DataFrame:
+    """(ids, f): occurrences of the phrases of one trie, which is broadcast for a pass over the corpus."""
+    sent = corpus.sparkSession.sparkContext.broadcast((flat, trie))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, trie = sent.value
+        total = np.zeros(len(trie.check), np.int64)
+        for batch in batches:
+            for raw in batch.column("ids").to_pylist():
+                total += np.bincount(trie.states(np.frombuffer(raw, "<i4"))[1], minlength=len(total))
+        by_phrase = np.zeros(len(flat), np.int64)
+        hit = np.flatnonzero(total)
+        by_phrase[trie.accepts[hit]] = total[hit]
+        for share, low in enumerate(range(0, len(flat), SHARE_PHRASES)):
+            own = by_phrase[low : low + SHARE_PHRASES]
+            if len(found := np.flatnonzero(own)):
+                packed = pa.array([_packed(found, own[found])], pa.binary())
+                yield pa.record_batch({"share": pa.array([share], pa.int64()), "packed": packed})
+
+    def add(table: pa.Table) -> pa.Table:
+        flat, total = sent.value[0], np.zeros(SHARE_PHRASES, np.int64)
+        for key, some in map(_unpacked, table.column("packed").to_pylist()):
+            total[key] += some
+        found = np.flatnonzero(total)
+        return _phrase_table(flat[found + table.column("share")[0].as_py() * SHARE_PHRASES], total[found])
+
+    lists = corpus.mapInArrow(releasing(count), "share long, packed binary")
+    counts = materialize(lists.groupBy("share").applyInArrow(add, "ids array<int>, f long"))
+    sent.destroy()
+    return counts
+
+
 def phrase_counts(corpus: DataFrame, phrases: DataFrame, trie_phrases: int) -> DataFrame:
     """(ids, f): occurrences of each phrase, overlaps included.
 
     One pass per trie: all places of a chunk advance together, accepting states are counted by bincount, and
-    the tasks' counts are added up.
+    the tasks' counts are sent as packed lists of phrase numbers and added up in shares of `SHARE_PHRASES` of them.
     """
-    spark, parts = corpus.sparkSession, []
-    for flat, trie in _tries(phrases, trie_phrases):
-        sent = spark.sparkContext.broadcast((flat, trie))
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            flat, trie = sent.value
-            total = np.zeros(len(trie.check), np.int64)
-            for batch in batches:
-                for raw in batch.column("ids").to_pylist():
-                    total += np.bincount(trie.states(np.frombuffer(raw, "<i4"))[1], minlength=len(total))
-            hit = np.flatnonzero(total)
-            found = flat[trie.accepts[hit]]
-            offsets = pa.array(np.arange(len(hit) + 1, dtype=np.int32) * trie.length)
-            yield pa.record_batch({"ids": pa.ListArray.from_arrays(offsets, pa.array(found.ravel().astype(np.int32))), "f": total[hit]})
-
-        parts.append(materialize(corpus.mapInArrow(releasing(count), "ids array<int>, f long").groupBy("ids").agg(F.sum("f").alias("f"))))
-        sent.destroy()
-    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], "ids array<int>, f long")
+    parts = [_counted_by_trie(corpus, flat, trie) for flat, trie in _tries(phrases, trie_phrases)]
+    return reduce(DataFrame.unionAll, parts) if parts else corpus.sparkSession.createDataFrame([], "ids array<int>, f long")
 
 
 def mine_collocations(
@@ -419,8 +479,9 @@ def mine_collocations(
     The `top` first per language by score, count and phrase (in bytes) are returned.
 
     Level by level: pairs of frequent words are counted by key in packed lists, since their Apriori candidates would be
-    the square of the vocabulary. Longer candidates are phrases that occur and both of whose shorter parts are frequent;
-    they are counted by double-array tries of at most `trie_phrases` phrases, broadcast one after the other.
+    the square of the vocabulary. Longer candidates are phrases both of whose shorter parts are frequent and that occur
+    often enough, by such lists; they are counted by double-array tries of at most `trie_phrases` phrases, broadcast one
+    after the other. So there are about as many passes as tries of frequent phrases, however many phrases occur.
     Numbers of at most `broadcast_words` frequent words are broadcast, those of more are joined.
     NULL texts are empty, a NULL lang is `und`; doc_id plays no part, and repeated rows count each time.
     """
@@ -439,7 +500,8 @@ def mine_collocations(
         n_words = totals.agg(F.sum("n")).first()[0] or 0
         levels.append(materialize(pair_counts(corpus, -(-n_words // PAIR_WORDS) or 1, min_count)))
     for _ in range(3, longest + 1):
-        candidates = longer_candidates(corpus, levels[-1], trie_phrases)
+        places = levels[-1].agg(F.sum("f")).first()[0] or 0
+        candidates = longer_candidates(corpus, levels[-1], trie_phrases, min_count, -(-places // PAIR_WORDS) or 1)
         levels.append(materialize(phrase_counts(corpus, candidates, trie_phrases).filter(often)))
     known = reduce(DataFrame.unionAll, levels)
     phrases = reduce(DataFrame.unionAll, levels[1:], levels[0].limit(0))
